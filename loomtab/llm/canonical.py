@@ -89,22 +89,24 @@ def map_to_reference(
     letter); find candidates that share character 2- and 3-grams through an
     inverted index; score the weighted cosine (inverse document frequency over
     the reference); accept the best entry whose score reaches ``threshold`` and
-    beats the next entry by ``margin``. An exact check follows on candidates:
+    beats the next entry as close in letters by ``margin``. An exact check follows on candidates:
     spelling may differ by at most two letters (one for names up to eight
     letters, none for names up to four), its plural forms included, so a value
     that only shares a word with an entry names none. An equal name always wins.
 
     NULL and blank values give no row; ties beyond all that name no entry.
-    Very long values (over 200 letters after folding) name no entry, as no
-    name of the reference is that long; they still get their row. An empty
-    reference maps all values to 0.
+    Values longer than the longest name of the reference by more than the
+    letters that may differ name no entry, and get their row without a search.
+    An empty reference maps all values to 0.
     """
     distinct = values.select("value").where(F.trim(F.regexp_replace("value", r"[\s\p{Z}\p{Cf}]+", " ")) != "").distinct()
     folded = distinct.select("value", strip_decorations(fold_value(F.col("value"))).alias("text"))
-    texts = folded.select("text").where("text <> '' AND length(text) <= 200").distinct()
-    asked = texts.select("text", F.explode(readings(F.col("text"))).alias("reading"))
-
     names = reference.select("node_id", fold_value(F.col("name")).alias("name")).where("name <> ''").distinct()
+    # two small facts about the reference list; a longer reading, or one with more words, can't be one of its names
+    most, longest = names.agg(F.max(F.size(words(F.col("name")))), F.max(F.length("name"))).first()
+    most, longest = most or 0, (longest or 0) + 5
+    texts = folded.select("text").where((F.col("text") != "") & (F.length(squeeze(F.col("text"))) <= longest)).distinct()
+    asked = texts.select("text", F.explode(readings(F.col("text"))).alias("reading"))
     vocabulary = names.select(F.explode(words(F.col("name"))).alias("word")).distinct().where("length(word) >= 4")
 
     # abbreviations: each unknown short word once
@@ -119,8 +121,6 @@ def map_to_reference(
         F.array_sort(F.collect_list(F.struct("i", F.array_union(F.array("token"), F.coalesce("options", F.array().cast("array<string>"))).alias("ways")))).alias("slots"),
         F.max(F.col("options").isNotNull()).alias("short"),
     )
-    # a reading with more words than any name can't be one, so only readings up to that length are written out
-    most = names.agg(F.max(F.size(words(F.col("name"))))).first()[0] or 0
     written = slots.select(
         "text",
         "reading",
@@ -159,9 +159,9 @@ def map_to_reference(
     checked = scored.withColumn("letters", letters).where(F.col("letters") <= allowed)
 
     per_text = forms.join(checked, "form").groupBy("text", "node_id").agg(F.max("score").alias("score"), F.min("letters").alias("letters"))
-    ranked = per_text.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("score", F.negative("letters").alias("closeness"), F.negative("node_id").alias("k"))), asc=False).alias("best"))
+    ranked = per_text.groupBy("text").agg(F.sort_array(F.collect_list(F.struct(F.negative("letters").alias("closeness"), "score", F.negative("node_id").alias("k"))), asc=False).alias("best"))
     first, second = F.get("best", F.lit(0)), F.get("best", F.lit(1))
-    clear = (second.isNull()) | (first["score"] - second["score"] >= margin) | (first["closeness"] > second["closeness"])
+    clear = second.isNull() | (first["closeness"] > second["closeness"]) | (first["score"] - second["score"] >= margin)
     won = ranked.where((first["score"] >= threshold) & clear).select("text", F.negative(first["k"]).alias("node_id"), F.round(first["score"], 6).alias("score"))
     return folded.join(won, "text", "left").select("value", F.coalesce("node_id", F.lit(0)).alias("node_id"), "score", F.col("text").alias("folded"))
 
