@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtab.llm import canonical, duplicates, mixing, tokens
+from loomtab.llm import canonical, duplicates, mixing, tokens, toxicity
 from loomtab.session import read_table
 
 HEADINGS = ("section_h2", "section_h3", "section_h4")
@@ -70,7 +70,28 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d).report()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p6_found, p6_unmatched, p7_ids, p7_roundtrip, p8_mix, p8_shares)}
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with the score of each link of the chain."""
+    docs = read_table(spark, d, "documents")
+    return toxicity.score_documents(docs, toxicity.fit_on_labels(docs, read_table(spark, d, "doc_labels")), ("source",))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_scores(spark, d).where(F.col("unfit") >= toxicity.THRESHOLD).select("doc_id")
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Each source with its documents and its rate of unfit ones; a NULL source is one of its own."""
+    unfit = F.col("unfit") >= toxicity.THRESHOLD
+    return p9_scores(spark, d).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_if(unfit).alias("n_unfit"),
+        F.avg(unfit.cast("double")).alias("unfit_rate"),
+        *[F.count_if(F.col(k) >= toxicity.THRESHOLD).alias(f"n_{k}") for k in toxicity.CATEGORIES],
+    )
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p6_found, p6_unmatched, p7_ids, p7_roundtrip, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}
 
 _RECORDS = r"""WITH parts AS (
   SELECT row_id, table_name, unnest(string_split(coalesce(equip_type, '') || ';' || coalesce(variant, ''), ';')) AS v FROM a_master_equipment),
