@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtab.llm import seeds
+
 #: The chain's links in order; the last one is the verdict itself.
 CATEGORIES = ("sexual", "threat", "demeaning", "insult")
 LINKS = (*CATEGORIES, "unfit")
@@ -275,15 +277,14 @@ def train_chain(labelled: Iterable[tuple[str, float]], folds: int = 3, least_doc
     words of at least ``least_docs`` texts that aren't mostly written as names.
     """
     docs = [(t, y) for t, y in labelled if t and t.strip() and y != 0.5]
+    # the authored sentences count as texts of one sentence each, twice, so that their words are known
+    docs += [(t, 1.0) for t in seeds.UNFIT for _ in range(2)] + [(t, 0.0) for t in seeds.FIT for _ in range(2)]
     tokenised = [(segments(t), float(y > 0.5)) for t, y in docs]
     df: Counter[str] = Counter()
     for ss, _ in tokenised:
         df.update({w for ws in ss for w in ws})
     cased = _cased(t for t, _ in docs)
     vocabulary = frozenset(w for w, n in df.items() if n >= least_docs and cased[w][1] <= 3 * cased[w][0])
-    if not tokenised or not any(y for _, y in tokenised):
-        return Chain(vocabulary, [Linear(np.zeros(1 << HASH_BITS, np.float32), np.zeros(i), -4.0) for i in range(len(LINKS))])
-
     # one example per (signature, fold): the fold is the text's
     index: dict[tuple[tuple[str, ...], int], int] = {}
     members: list[list[int]] = []
@@ -316,7 +317,7 @@ def train_chain(labelled: Iterable[tuple[str, float]], folds: int = 3, least_doc
 
     none = np.zeros((n, 0))
     y, weight = tally(None)
-    for floor in (0.3, 0.4):
+    for floor in (0.6, 0.6):
         p = out_of_fold(y, weight, none)
         chosen = []
         for ids, (_, label) in zip(members, tokenised):
@@ -343,8 +344,8 @@ THRESHOLD = 0.5
 def fit_on_labels(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Chain:
     """The chain of a bounded sample of the reviewed documents, fitted on the driver.
 
-    NULL verdicts don't count; several verdicts on a document are averaged. No
-    verdicts, or none unfit, give a chain that finds nothing.
+    NULL verdicts don't count; several verdicts on a document are averaged.
+    Without verdicts the chain knows the authored sentences of :mod:`seeds` only.
     """
     seen = labels.where("is_unfit IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("is_unfit").alias("share"))
     sample = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
