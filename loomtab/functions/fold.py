@@ -32,7 +32,7 @@ def strip_accents(c: Column) -> Column:
 
 def halfwidth(c: Column) -> Column:
     """Full-width forms of ASCII signs as ASCII, and the wide space as a space."""
-    wide = "".join(chr(i + 0xFEE0) for i in range(0x21, 0x7F)) + "　"
+    wide = "".join(chr(i + 0xFEE0) for i in range(0x21, 0x7F)) + "\u3000"
     return F.translate(c, wide, "".join(chr(i) for i in range(0x21, 0x7F)) + " ")
 
 
