@@ -27,7 +27,7 @@ def tidy_text(c: Column) -> Column:
     c = F.translate(c, EXOTIC_SPACES, " " * len(EXOTIC_SPACES))
     c = F.regexp_replace(c, f"[{ZERO_WIDTH}]", "")
     c = F.regexp_replace(c, r"[\x00-\x1f\x7f]", "")
-    return F.regexp_replace(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), r"(?U)\s+", " ")
+    return F.regexp_replace(F.lower(F.regexp_replace(c, r"(?U)^\s+|(?<!\s)\s++$", "")), r"(?U)\s+", " ")
 
 
 def normalize_text(c: Column) -> Column:

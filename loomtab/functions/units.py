@@ -177,10 +177,10 @@ def _quote(alias: str) -> str:
 
 
 def unit_pattern(field: Field) -> str:
+    """All ways to write the field's units, longest first, so that ``tons (long)`` comes before ``tons``."""
     names = sorted({n for names in field.units.values() for n in names}, key=len, reverse=True)
-    lettered = [_quote(n) for n in names if n[-1].isalpha()]
-    marks = [_quote(n) for n in names if not n[-1].isalpha()]
-    return rf"(?:(?:{'|'.join(lettered)})(?![\p{{L}}\d³²])\.?|{'|'.join(marks) or '(?!)'})"
+    ways = (_quote(n) + (r"(?![\p{L}\d³²])\.?" if n[-1].isalpha() else "") for n in names)
+    return rf"(?:{'|'.join(ways)})"
 
 
 def _tidy(c: Column) -> Column:

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Dialects: how a cell may be parted (Java patterns). Strong delimiters mix freely within one cell.
+#: Dialects: how a cell may be parted (Java patterns; values are trimmed afterwards). Strong delimiters mix freely within one cell.
 DIALECTS: tuple[tuple[str, str], ...] = (
     ("single", r"(?!)"),
-    ("strong", r"\s*;[;\s]*|\s*[|•·‣▪¦]\s*|\s*(?i:<br ?/?>)\s*|\s*[\r\n]+\s*|\s+/\s+"),
-    ("numbered", r"(?:^|\s+)(?:\(\d{1,3}\)|\d{1,3}[.)])\s+"),
-    ("comma", r"\s*,\s*(?:(?:and|&)\s+)?"),
-    ("comma_and", r"\s*,\s*(?:(?:and|&)\s+)?|\s+(?:and|&)\s+"),
-    ("slash", r"\s*/\s*"),
+    ("strong", r";[;\s]*|[|•·‣▪¦]|(?i:<br ?/?>)|[\r\n]|\s/\s"),
+    ("numbered", r"(?:^|\s)(?:\(\d{1,3}\)|\d{1,3}[.)])\s"),
+    ("comma", r",(?:\s*(?:and|&)\s)?"),
+    ("comma_and", r",(?:\s*(?:and|&)\s)?|\s(?:and|&)\s"),
+    ("slash", r"/"),
 )
 
 _MONTHS = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
@@ -55,11 +55,11 @@ def part(cell: Column, delimiter: str, names: str = "") -> Column:
 
 def clean_value(v: Column) -> Column:
     """Without outer white space, list number, enclosing quotes and doubled inner quotes."""
-    v = F.regexp_replace(v, r"^[\s\p{Z}\p{Cf}]+|[\s\p{Z}\p{Cf}]+$", "")
+    v = F.regexp_replace(v, r"^[\s\p{Z}\p{Cf}]+|(?<![\s\p{Z}\p{Cf}])[\s\p{Z}\p{Cf}]++$", "")
     v = F.regexp_replace(v, r"^(?:\(\d{1,3}\)|\d{1,3}[.)])\s+", "")
     v = F.regexp_replace(v, rf"^{_QUOTE}$", "")
     v = F.regexp_replace(v, r'(?s)^(?:"([^"]*)"|“([^”]*)”|«([^»]*)»|„([^“”]*)[“”])$', "$1$2$3$4")
-    return F.regexp_replace(F.regexp_replace(v, _QUOTE, '"'), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.regexp_replace(v, _QUOTE, '"'), r"^\s+|(?<!\s)\s++$", "")
 
 
 def value_shape(v: Column) -> Column:
@@ -67,7 +67,7 @@ def value_shape(v: Column) -> Column:
     s = F.regexp_replace(v, r"\p{Lu}?\p{Ll}+", "a")
     s = F.regexp_replace(s, r"\p{Lu}+", "A")
     s = F.regexp_replace(s, r"\d+", "9")
-    return F.substring(F.regexp_replace(s, r"(a )+a(?!\p{L})", "a"), 1, 60)
+    return F.substring(F.regexp_replace(s, r"a (?=a(?!\p{L}))", ""), 1, 60)
 
 
 def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] = (), id_: str = "row_id") -> DataFrame:
@@ -81,7 +81,8 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     ones the one with fewer values, then the first of :data:`DIALECTS`.
 
     Positions count from 1 over non-empty values, and a repeated value counts
-    again. NULL cells and cells without a value give no row. A cell in which a
+    again. NULL cells and cells without a value give no row; a cell of signs
+    alone is one value. A cell in which a
     quote never closes is parted as if the quote were a letter. ``guards`` are
     names that hold a delimiter and are one value. Very long cells are parted
     whole. Repeated ``row_id`` repeat their values; other columns don't matter.
