@@ -15,10 +15,10 @@ LEADING = (
     r"^(?:list of|lists of|the|active|all) +",
 )
 TRAILING = (
-    r"[\s*:;.,=†‡-]+$",
-    r"\s*\[[^\[\]]*\]$",
-    r"\s*\((?:\d+|current|in service|active)\)$",
-    r"\s*(?:- )?(?:in service|since \d{4})$",
+    r"(?<![\s*:;.,=†‡-])[\s*:;.,=†‡-]++$",
+    r" ?\[[^\[\]]*\]$",
+    r" ?\((?:\d+|current|in service|active)\)$",
+    r" ?(?:- )?(?:in service|since \d{4})$",
 )
 #: Rounds of stripping; each round takes one decoration of each kind.
 ROUNDS = 3
