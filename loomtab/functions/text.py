@@ -22,6 +22,15 @@ def nfkc(c: Column) -> Column:
     return F.pandas_udf(compose, "string")(c)
 
 
+def nfkc_each(c: Column) -> Column:
+    """The same for each text of an array; higher-order functions can't call Python."""
+
+    def compose(arrays: pd.Series) -> pd.Series:
+        return arrays.map(lambda ts: [t if t is None else unicodedata.normalize("NFKC", t) for t in ts], na_action="ignore")
+
+    return F.pandas_udf(compose, "array<string>")(c)
+
+
 def tidy_text(c: Column) -> Column:
     """Exotic spaces as spaces; zero-width and control signs removed (tabs and line ends too); trimmed, lower case, single spaces."""
     c = F.translate(c, EXOTIC_SPACES, " " * len(EXOTIC_SPACES))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomtab.functions.text import is_quantity, tidy_text
+from loomtab.functions.text import is_quantity, nfkc_each, tidy_text
 
 #: Columns of pictures; a name that contains one is dropped (fixed values). Note that ``file`` also hits ``profile``.
 IMAGE_WORDS = ("image", "photo", "thumbnail", "file", "picture", "illustration", "portrait", "insignia")
@@ -31,6 +31,13 @@ def from_scrapes(raw_rows: DataFrame, key: str = "meta_id") -> DataFrame:
     return raw_rows.select(F.col(key).cast("string").alias("table_name"), "row_idx", "cells")
 
 
+def compose_names(rows: DataFrame) -> DataFrame:
+    """Column names in NFKC, for rows that didn't come through the page reader, which composes whole pages."""
+    composed = rows.withColumn("__names", nfkc_each(F.transform("cells", lambda c: c["name"])))
+    cells = F.transform("cells", lambda c, i: _cell(c["pos"], F.get("__names", i), c["value"]))
+    return composed.withColumn("cells", cells).drop("__names")
+
+
 def headers(rows: DataFrame) -> DataFrame:
     """``table_name, names``: the column names of each table in order of position.
 
@@ -58,14 +65,16 @@ def split_doublewide(rows: DataFrame, positional: bool = True) -> DataFrame:
     same = F.forall(F.arrays_zip(left.alias("a"), right.alias("b")), lambda p: _suffixless(p["a"]) == _suffixless(p["b"]))
     wide = headers(rows).where((F.size("names") > 0) & (F.size("names") % 2 == 0)).where(same).select("table_name", half.alias("half"), "names")
     joined = rows.join(wide, "table_name", "left")
-    plain = joined.where("half IS NULL").select("table_name", "row_idx", "cells", F.lit(0).alias("side"))
-    double = joined.where("half IS NOT NULL").select("table_name", "row_idx", "cells", "half", "names", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+    double = F.col("half").isNotNull()
+    sides = F.when(double, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    sided = joined.select("table_name", "row_idx", "cells", "half", "names", F.explode(sides).alias("side"))
     in_side = F.filter("cells", lambda c: F.when(F.col("side") == 0, c["pos"] < F.col("half")).otherwise(c["pos"] >= F.col("half")))
     moved = F.transform(in_side, lambda c: _cell(c["pos"] - F.col("side") * F.col("half"), F.get("names", c["pos"] - F.col("side") * F.col("half")), c["value"]))
-    kept = double.select("table_name", "row_idx", (moved if positional else in_side).alias("cells"), "side").where(
-        F.exists("cells", lambda c: c["value"].isNotNull())
+    same_cells = F.transform("cells", lambda c: _cell(c["pos"], c["name"], c["value"]))
+    split = moved if positional else F.transform(in_side, lambda c: _cell(c["pos"], c["name"], c["value"]))
+    both = sided.select("table_name", "row_idx", F.when(double, split).otherwise(same_cells).alias("cells"), "side", double.alias("double")).where(
+        ~F.col("double") | F.exists("cells", lambda c: c["value"].isNotNull())
     )
-    both = plain.unionByName(kept)
     order = W.partitionBy("table_name").orderBy("side", "row_idx")
     return both.select("table_name", (F.row_number().over(order) - 1).alias("row_idx"), "cells")
 
@@ -114,20 +123,17 @@ def standardize_names(rows: DataFrame, normal: Normal = tidy_text) -> DataFrame:
         F.when(F.col("multi"), make_unique(chosen)).otherwise(F.transform("names", normal)).alias("new_names"),
         F.when(F.col("multi"), left).alias("left_over"),
     )
-    joined = rows.join(plan, "table_name")
+    first = rows.groupBy("table_name").agg(F.min("row_idx").alias("first"))
+    joined = rows.join(plan.join(first, "table_name"), "table_name")
+    unreal = lambda c: F.coalesce(F.trim(c["name"]).rlike(r"^(\d+$|unnamed)"), F.lit(True))
     renamed = F.transform("cells", lambda c: _cell(c["pos"], F.get("new_names", c["pos"]), c["value"]))
     # digits and unnamed columns go only from tables with tuple headers
-    real = F.filter(renamed, lambda c: ~F.col("multi") | ~F.coalesce(F.trim(c["name"]).rlike(r"^(\d+$|unnamed)"), F.lit(True)))
-    body = joined.select("table_name", "row_idx", F.transform(real, lambda c: _cell(c["pos"], normal(c["name"]), c["value"])).alias("cells"))
-    extra = plan.where("multi").select(
-        "table_name", F.lit(-1).alias("row_idx"),
-        F.transform("new_names", lambda n, i: _cell(i, n, F.get("left_over", i))).alias("cells"),
-    )
-    extra = extra.select(
-        "table_name", "row_idx",
-        F.filter("cells", lambda c: ~F.coalesce(F.trim(c["name"]).rlike(r"^(\d+$|unnamed)"), F.lit(True))).alias("cells"),
-    )
-    return body.unionByName(extra)
+    real = F.filter(renamed, lambda c: ~F.col("multi") | ~unreal(c))
+    extra = F.filter(F.transform("new_names", lambda n, i: _cell(i, n, F.get("left_over", i))), lambda c: ~unreal(c))
+    own = F.struct(F.col("row_idx").alias("row_idx"), real.alias("cells"))
+    lines = F.when(F.col("multi") & (F.col("row_idx") == F.col("first")), F.array(F.struct(F.lit(-1).alias("row_idx"), extra.alias("cells")), own))
+    out = joined.select("table_name", F.inline(lines.otherwise(F.array(own))))
+    return out.select("table_name", "row_idx", F.transform("cells", lambda c: _cell(c["pos"], normal(c["name"]), c["value"])).alias("cells"))
 
 
 def drop_superfluous(rows: DataFrame, normal: Normal = tidy_text) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtab.functions.quantity import with_clean_quantity
-from loomtab.functions.text import normalize_text
+from loomtab.functions.text import tidy_text
 from loomtab.operators import classification, cleaning, mapping, refine, summary, taxonomy
 from loomtab.schemas import CANONICAL_COLUMNS
 from loomtab.sources import html
@@ -55,7 +55,7 @@ class Pipeline:
         self._write("RAW", "rows", body.select("table_name", "row_idx", "cells"))
 
     def clean(self) -> None:
-        rows = cleaning.clean_all(self._read("RAW", "rows"), normalize_text, self.compat.positional_halves)
+        rows = cleaning.clean_all(cleaning.compose_names(self._read("RAW", "rows")), tidy_text, self.compat.positional_halves)
         cleaned = self._write("CLEANED", "rows", rows)
         self._write("CLEANED", "columns", cleaning.column_list(cleaned))
         self._write("CLEANED", "tables", self._read("RAW", "tables").join(cleaned.select("table_name").distinct(), "table_name", "left_semi"))
