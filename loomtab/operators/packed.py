@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomtab.session import cut_lineage
+
 #: Dialects: how a cell may be parted (Java patterns; values are trimmed afterwards). Strong delimiters mix freely within one cell.
 DIALECTS: tuple[tuple[str, str], ...] = (
     ("single", r"(?!)"),
@@ -91,15 +93,13 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     long = rows.select(id_, F.inline(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("cell")) for f in fields])))
     long = long.where("cell IS NOT NULL")
     cells = long.groupBy("field_name", "cell").agg(F.count(F.lit(1)).alias("n"))
-    parses = cells.select(
-        "field_name",
-        "cell",
-        "n",
-        F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(d).alias("dialect"), part(F.col("cell"), rx, names).alias("items")) for i, (d, rx) in enumerate(DIALECTS)]).alias("all"),
-    )
+    each = [F.struct(F.lit(i).alias("rank"), F.lit(d).alias("dialect"), part(F.col("cell"), rx, names).alias("items")) for i, (d, rx) in enumerate(DIALECTS)]
+    any_delimiter = "|".join(f"(?:{rx})" for _, rx in DIALECTS[1:])
+    parses = cells.select("field_name", "cell", "n", F.when(F.col("cell").rlike(any_delimiter), F.array(*each)).otherwise(F.array(each[0])).alias("all"))
     # dialects that part alike are one, known by the first of them
     distinct = F.filter("all", lambda p, i: F.size(F.filter(F.slice(F.col("all"), 1, i), lambda q: q["items"] == p["items"])) == 0)
-    parses = parses.select("field_name", "cell", "n", distinct.alias("ways")).where(F.size(F.element_at("ways", 1)["items"]) > 0)
+    # each distinct cell is parsed once: kept in the shared folder, or the filter below would move before the grouping
+    parses = cut_lineage(parses.select("field_name", _cell_key(F.col("cell")).alias("cell"), "n", distinct.alias("ways"))).where(F.size(F.element_at("ways", 1)["items"]) > 0)
     # value codes: learned where the parse is not in question, or from the strong dialect where it parts
     sure = F.when(F.size("ways") == 1, F.element_at("ways", 1)["items"]).otherwise(
         F.flatten(F.transform(F.filter("ways", lambda w: w["dialect"] == "strong"), lambda w: w["items"]))
@@ -126,9 +126,15 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     chosen = parses.join(best, ["field_name", "cell"], "left").select(
         "field_name", "cell", F.coalesce(F.get(F.filter("ways", lambda w: w["rank"] == F.col("best")), F.lit(0)), F.element_at("ways", 1)).alias("way")
     )
-    return long.join(chosen, ["field_name", "cell"]).select(
-        id_, "field_name", F.size("way.items").alias("n_items"), F.col("way.dialect").alias("dialect"), F.posexplode("way.items").alias("p", "item_value")
-    ).select(id_, "field_name", (F.col("p") + 1).alias("item_pos"), "item_value", "n_items", "dialect")
+    keyed = long.select(id_, "field_name", _cell_key(F.col("cell")).alias("cell")).join(chosen, ["field_name", "cell"])
+    counted = keyed.select(id_, "field_name", F.size("way.items").alias("n_items"), F.col("way.dialect").alias("dialect"), F.col("way.items").alias("items"))
+    placed = counted.select(id_, "field_name", "n_items", "dialect", F.posexplode("items").alias("p", "item_value"))
+    return placed.select(id_, "field_name", (F.col("p") + 1).alias("item_pos"), "item_value", "n_items", "dialect")
+
+
+def _cell_key(cell: Column) -> Column:
+    """A short cell itself, a long one by its SHA-256, so that its values don't each carry the whole cell."""
+    return F.when(F.length(cell) <= 64, cell).otherwise(F.concat(F.lit(_OPEN), F.sha2(cell, 256)))
 
 
 def names_with_delimiters(names: DataFrame, column: str = "country", bound: int = 1000) -> list[str]:
