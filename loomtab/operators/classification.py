@@ -129,7 +129,59 @@ def classify_by_profile(classified: DataFrame, features: DataFrame, groups: Data
         grown = groups.unionByName(features.join(assigned.select(key, "grp"), key).select("grp", "kind", "feature")).distinct()
         fresh = best_group(profile_cosine(waiting, grown, key), key).where(F.col("score") >= cut)
         assigned = cut_lineage(assigned.unionByName(fresh))
-    new = assigned.select(key, F.col("grp").alias("new_class"), F.col("score").alias("new_score"))
+    return _with_new_classes(classified, assigned.select(key, F.col("grp").alias("new_class"), F.col("score").alias("new_score")), key)
+
+
+def classify_one_by_one(
+    classified: DataFrame, features: DataFrame, groups: DataFrame, order: DataFrame, cuts: tuple[float, ...] = CUTS,
+    key: str = "table_name", max_features: int = 5_000_000,
+) -> DataFrame:
+    """As :func:`classify_by_profile`, but tables are taken one by one in ``order`` (``<key>, seq``) and groups grow in between.
+
+    That order is a chain of decisions, so it runs on the driver, for catalogues
+    of a checked size (``max_features`` rows of features). Tables without a
+    ``seq`` come last, by key. Ties go to the first name.
+    """
+    rows = features.join(order.select(key, "seq"), key, "left").select(key, "seq", "kind", "feature").limit(max_features + 1).collect()
+    starters = groups.limit(max_features + 1).collect()
+    if max(len(rows), len(starters)) > max_features:
+        raise ValueError(f"more than {max_features} features; use classify_by_profile")
+    profiles: dict[str, set[tuple[str, str]]] = {}
+    place: dict[str, tuple] = {}
+    for r in rows:
+        profiles.setdefault(r[key], set()).add((r["kind"], r["feature"]))
+        place[r[key]] = (r["seq"] is None, r["seq"] if r["seq"] is not None else 0, r[key])
+    held: dict[str, dict[str, set[str]]] = {}
+    for r in starters:
+        held.setdefault(r["grp"], {}).setdefault(r["feature"], set()).add(r["kind"])
+    sure = {r[key]: r["equipment_class"] for r in classified.where("confidence = 1.0").select(key, "equipment_class").collect()}
+    norms = {g: sum(len(kinds) ** 2 for kinds in fs.values()) for g, fs in held.items()}
+    waiting, found = sorted(profiles, key=place.__getitem__), {}
+
+    def best(table: str) -> tuple[float, str | None]:
+        own = {f for _, f in profiles[table]}
+        scores = ((sum(len(fs.get(f, ())) for f in own) / ((len(own) * norms[g]) ** 0.5), g) for g, fs in held.items() if own and norms[g])
+        return min(((-s, g) for s, g in scores if s > 0), default=(0.0, None))
+
+    for cut in cuts:
+        left = []
+        for table in waiting:
+            score, group = (-1.0, sure[table]) if table in sure else best(table)
+            if group is None or -score < cut:
+                left.append(table)
+                continue
+            found[table] = (group, -score)
+            mine = held.setdefault(group, {})
+            for kind, f in profiles[table]:
+                mine.setdefault(f, set()).add(kind)
+            norms[group] = sum(len(kinds) ** 2 for kinds in mine.values())
+        waiting = left
+    kind = classified.schema[key].dataType.simpleString()
+    new = classified.sparkSession.createDataFrame([(t, g, s) for t, (g, s) in found.items()], f"`{key}` {kind}, new_class string, new_score double")
+    return _with_new_classes(classified, new, key)
+
+
+def _with_new_classes(classified: DataFrame, new: DataFrame, key: str) -> DataFrame:
     joined = classified.join(new, key, "left")
     return joined.select(
         *[c for c in classified.columns if c not in ("equipment_class", "other_classes", "confidence")],

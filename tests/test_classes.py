@@ -80,6 +80,14 @@ def test_classes_by_profile(spark, tax):
     assert got["one"] == ("Frigate", 1.0) and got["prof"][0] == "Frigate" and 0.2 < got["prof"][1] < 1
     assert got["none"] == (None, 0.0)
     assert {r["table_name"] for r in classification.unclassified(out).collect()} >= {"none"}
+    order = spark.createDataFrame([("one", 0), ("two", 1), ("prof", 2)], "table_name string, seq int")
+    groups = classification.starter_groups(tax[0], tax[2], rules=tax[1])
+    single = classification.classify_one_by_one(c, features, groups, order)
+    got = {r["table_name"]: (r["equipment_class"], r["confidence"]) for r in single.collect()}
+    assert got["one"] == ("Frigate", 1.0) and got["prof"][0] == "Frigate" and got["none"] == (None, 0.0)
+    assert single.columns == out.columns
+    with pytest.raises(ValueError):
+        classification.classify_one_by_one(c, features, groups, order, max_features=2)
 
 
 def test_cosine(spark):
