@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtab.functions.fold import halfwidth, strip_accents
+from loomtab.session import cut_lineage
 
 #: Decorations around a heading (Java patterns, applied to the folded text in turn until nothing changes; fixed values).
 LEADING = (
@@ -133,7 +134,11 @@ def map_to_reference(
             ),
         ).otherwise(F.array(squeeze(F.col("reading")))).alias("forms"),
     )
+    # few bytes that turn into much work: kept once and spread over all cores, whatever their size
+    spark = values.sparkSession
+    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     forms = written.select("text", F.explode("forms").alias("form")).where("form <> ''").distinct()
+    forms = cut_lineage(forms)
 
     # the index: n-grams of each name, weighted by how few names hold them
     entry = names.select("node_id", squeeze(F.col("name")).alias("target")).where("target <> ''").distinct()
@@ -144,9 +149,10 @@ def map_to_reference(
     )
     index = postings.join(weights, "gram")
     norms = index.groupBy("target").agg(F.sum("w2").alias("target_norm")).distinct()
-    index = index.join(norms, "target")
+    index = cut_lineage(index.join(norms, "target"))
+    weights = index.select("gram", "w2").distinct()
 
-    form_grams = forms.select("form").distinct().select("form", F.explode(grams(F.col("form"))).alias("gram"))
+    form_grams = forms.select("form").distinct().repartition(spread).select("form", F.explode(grams(F.col("form"))).alias("gram"))
     # grams that no name holds still lengthen the value's vector: they weigh as a gram held once
     known = form_grams.join(weights, "gram", "left")
     form_norms = known.groupBy("form").agg(F.sum(F.coalesce("w2", F.pow(F.log(total + 1) + 0.2, 2))).alias("form_norm"))
@@ -156,7 +162,8 @@ def map_to_reference(
     ).where(F.col("score") >= floor)
     letters = F.array_min(F.transform(_plurals(F.col("target")), lambda p: F.levenshtein(p, F.col("form"))))
     allowed = F.when(F.length("target") <= 4, 0).when(F.length("target") <= 8, 1).otherwise(2)
-    checked = scored.withColumn("letters", letters).where(F.col("letters") <= allowed)
+    # tied to the score, or the filter would move before the grouping and count letters once per shared gram
+    checked = scored.withColumn("letters", F.when(F.col("score") >= floor, letters)).where(F.col("letters") <= allowed)
 
     per_text = forms.join(checked, "form").groupBy("text", "node_id").agg(F.max("score").alias("score"), F.min("letters").alias("letters"))
     ranked = per_text.groupBy("text").agg(F.sort_array(F.collect_list(F.struct(F.negative("letters").alias("closeness"), "score", F.negative("node_id").alias("k"))), asc=False).alias("best"))
