@@ -9,15 +9,18 @@ example was not in. A document's score is that of its worst sentence.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +57,7 @@ _SENTENCE = re.compile(r"(?:[.!?…]+[\"'»”)\]]*(?=\s|$|<))|[\r\n]+|<[^<>]{1,
 _MOJIBAKE = re.compile("[Â-ô][\u0080-¿]{1,3}")
 _SPACED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:([.\-_|*·~/])[^\W\d_](?:\1)?){2,}(?![^\W\d_])|(?<![^\W\d_])(?:[^\W\d_] ){3,}[^\W\d_](?![^\W\d_])")
 _TOKEN = re.compile(r"[^\W_][\w@$*!|’']*[\w@$*]|[^\W_]")
+_MARKS = regex.compile(r"[\p{Mn}\p{Cf}]+")
 _DOUBLE = re.compile(r"(.)\1+")
 
 HASH_BITS = 18
@@ -90,11 +94,10 @@ def undisguise(text: str) -> str:
     if not text.isascii():
         text = _MOJIBAKE.sub(_repair, text)
         text = unicodedata.normalize("NFKD", text)
-        text = "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Cf"))
+        text = _MARKS.sub("", text)
     text = text.lower()
     if not text.isascii():
         text = " ".join(w.translate(_LOOKALIKES) if not w.isascii() and re.search("[a-z]", w) else w for w in text.split(" "))
-        text = text.replace(" ", " ")
     return _SPACED.sub(lambda m: re.sub(r"[^\w]|_", "", m.group()), text)
 
 
@@ -129,38 +132,34 @@ def _cased(texts: Iterable[str]) -> dict[str, list[int]]:
     return seen
 
 
+@lru_cache(1 << 17)
+def _word(t: str) -> tuple[str, ...]:
+    """What one token stands for: a class and its stem, a person, a number, a code, or a plain word."""
+    t = t.strip("'’!|")
+    if not t:
+        return ()
+    if t.isdigit():
+        return ("<n>",)
+    if t.isalpha():
+        w = _single(t)
+    elif "*" in t:
+        kind = _BY_SHAPE.get((t[0], len(t), t[-1]))
+        return (f"<{kind}>" if kind else "<masked>",)
+    else:
+        plain = t.replace("'", "").replace("’", "")
+        bare = plain.replace("|", "")
+        w = _single(bare if bare.isalpha() else plain.translate(_LEET))
+        if w not in _WHO and _stem(w) not in _CLASS and any(c.isdigit() for c in plain):
+            return ("<code>",)
+    stem = _stem(w)
+    if w in _WHO:
+        return (_WHO[w],)
+    return (f"<{_CLASS[stem]}>", stem) if stem in _CLASS else (w,)
+
+
 def words(sentence: str) -> list[str]:
     """Tokens: classes for cue words and persons, else plain words; numbers are one token."""
-    out = []
-    for t in _TOKEN.findall(sentence):
-        t = t.strip("'’!|")
-        if not t:
-            continue
-        if t.isalpha():
-            w = _single(t)
-        elif t.isdigit():
-            out.append("<n>")
-            continue
-        elif "*" in t:
-            kind = _BY_SHAPE.get((t[0], len(t), t[-1]))
-            out.append(f"<{kind}>" if kind else "<masked>")
-            continue
-        else:
-            plain = t.replace("'", "").replace("’", "")
-            w = _single(plain.replace("|", "")) if plain.replace("|", "").isalpha() else _single(plain.translate(_LEET))
-            if w in _WHO or _stem(w) in _CLASS or plain.isalpha():
-                pass
-            elif any(c.isdigit() for c in plain):
-                out.append("<code>")
-                continue
-        stem = _stem(w)
-        if w in _WHO:
-            out.append(_WHO[w])
-        elif stem in _CLASS:
-            out += (f"<{_CLASS[stem]}>", stem)
-        else:
-            out.append(w)
-    return out
+    return [w for t in _TOKEN.findall(sentence) for w in _word(t)]
 
 
 def signature(tokens: Iterable[str], vocabulary: frozenset[str] | set[str]) -> tuple[str, ...]:
@@ -193,10 +192,6 @@ class Linear:
     chained: np.ndarray
     bias: float
 
-    def score(self, x: np.ndarray, earlier: np.ndarray) -> float:
-        z = float(self.weights[x].sum()) / max(len(x), 1) ** 0.5 + float(self.chained @ earlier) + self.bias
-        return 1.0 / (1.0 + np.exp(-min(max(z, -30.0), 30.0)))
-
 
 class Examples:
     """Sparse rows of hashed features in one flat array."""
@@ -235,36 +230,40 @@ class Examples:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-@dataclass
 class Chain:
-    vocabulary: frozenset[str]
-    links: list[Linear]
-    _memo: dict = field(default_factory=dict, repr=False)
+    """The trained links; sentences of one signature are scored once."""
+
+    def __init__(self, vocabulary: frozenset[str], links: list[Linear]) -> None:
+        self.vocabulary, self.links = vocabulary, links
+        self._table = np.column_stack([link.weights for link in links]).astype(np.float32)
+        self._chained = [link.chained.tolist() for link in links]
+        self._memo: dict[tuple[str, ...], tuple[float, ...]] = {}
 
-    def sentence(self, sig: tuple[str, ...]) -> np.ndarray:
+    def sentence(self, sig: tuple[str, ...]) -> tuple[float, ...]:
         found = self._memo.get(sig)
         if found is None:
-            x, found = features(sig), np.zeros(len(self.links))
-            for i, link in enumerate(self.links):
-                found[i] = link.score(x, found[:i])
+            x = features(sig)
+            sums = (self._table[x].sum(axis=0) / max(len(x), 1) ** 0.5).tolist()
+            scores: list[float] = []
+            for z, link, chained in zip(sums, self.links, self._chained):
+                z += link.bias + sum(v * p for v, p in zip(chained, scores))
+                scores.append(1.0 / (1.0 + math.exp(-min(max(z, -30.0), 30.0))))
+            found = tuple(scores)
             if len(self._memo) > 200_000:
                 self._memo.clear()
             self._memo[sig] = found
         return found
 
-    def document(self, text: str | None) -> np.ndarray:
+    def document(self, text: str | None) -> tuple[float, ...]:
         """The highest score of each link over all sentences; zeros for a text without words."""
-        best = np.zeros(len(LINKS))
-        for tokens in segments(text or ""):
-            if sig := signature(tokens, self.vocabulary):
-                np.maximum(best, self.sentence(sig), out=best)
-        return best
+        scores = [self.sentence(sig) for tokens in segments(text or "") if (sig := signature(tokens, self.vocabulary))]
+        return tuple(map(max, zip(*scores))) if scores else (0.0,) * len(LINKS)
 
     def __getstate__(self) -> dict:
         return {"vocabulary": self.vocabulary, "links": self.links}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state, _memo={})
+        self.__init__(**state)
 
 
 def train_chain(labelled: Iterable[tuple[str, float]], folds: int = 3, least_docs: int = 2, unfit_weight: float = 4.0) -> Chain:
@@ -351,7 +350,8 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
     """
     seen = labels.where("is_unfit IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("is_unfit").alias("share"))
     sample = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(sample, "doc_id")
+    # the sample has at most max_labelled rows of two numbers, so the corpus is filtered by it without a shuffle
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     return train_chain([(r["text"], r["share"]) for r in texts.orderBy("doc_id").collect()])
 
 
