@@ -19,6 +19,9 @@ from loomtab.functions.text import is_quantity, nfkc_each, tidy_text
 #: Columns of pictures; a name that contains one is dropped (fixed values). Note that ``file`` also hits ``profile``.
 IMAGE_WORDS = ("image", "photo", "thumbnail", "file", "picture", "illustration", "portrait", "insignia")
 
+#: Rows of a table that are filled forward together; blocks of a very long table are filled apart and hand on their last announcement.
+BLOCK = 100_000
+
 Normal = Callable[[Column], Column]
 
 
@@ -64,19 +67,20 @@ def split_doublewide(rows: DataFrame, positional: bool = True) -> DataFrame:
     left, right = F.slice("names", F.lit(1), half), F.slice("names", half + 1, half)
     same = F.forall(F.arrays_zip(left.alias("a"), right.alias("b")), lambda p: _suffixless(p["a"]) == _suffixless(p["b"]))
     wide = headers(rows).where((F.size("names") > 0) & (F.size("names") % 2 == 0)).where(same).select("table_name", half.alias("half"), "names")
+    # right rows are numbered after the last left one; numbers may have gaps
+    wide = wide.join(rows.groupBy("table_name").agg((F.max("row_idx") + 1).alias("n")), "table_name")
     joined = rows.join(wide, "table_name", "left")
     double = F.col("half").isNotNull()
     sides = F.when(double, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sided = joined.select("table_name", "row_idx", "cells", "half", "names", F.explode(sides).alias("side"))
+    sided = joined.select("table_name", "row_idx", "cells", "half", "names", "n", F.explode(sides).alias("side"))
     in_side = F.filter("cells", lambda c: F.when(F.col("side") == 0, c["pos"] < F.col("half")).otherwise(c["pos"] >= F.col("half")))
     moved = F.transform(in_side, lambda c: _cell(c["pos"] - F.col("side") * F.col("half"), F.get("names", c["pos"] - F.col("side") * F.col("half")), c["value"]))
     same_cells = F.transform("cells", lambda c: _cell(c["pos"], c["name"], c["value"]))
     split = moved if positional else F.transform(in_side, lambda c: _cell(c["pos"], c["name"], c["value"]))
-    both = sided.select("table_name", "row_idx", F.when(double, split).otherwise(same_cells).alias("cells"), "side", double.alias("double")).where(
+    both = sided.select("table_name", "row_idx", F.when(double, split).otherwise(same_cells).alias("cells"), "side", "n", double.alias("double")).where(
         ~F.col("double") | F.exists("cells", lambda c: c["value"].isNotNull())
     )
-    order = W.partitionBy("table_name").orderBy("side", "row_idx")
-    return both.select("table_name", (F.row_number().over(order) - 1).alias("row_idx"), "cells")
+    return both.select("table_name", (F.col("row_idx") + F.col("side") * F.coalesce("n", F.lit(0))).alias("row_idx"), "cells")
 
 
 def make_unique(names: Column) -> Column:
@@ -164,21 +168,37 @@ def propagate_sections(rows: DataFrame) -> DataFrame:
     whether the table has such rows at all; only then do the new columns stand
     first and replace raw ones of the same name. Rows are numbered anew.
     """
-    kinds = rows.withColumn("kind", row_kind(F.col("cells")))
     text = F.trim(F.coalesce(F.get("cells", F.lit(0))["value"], F.lit("")))
     number = F.nullif(F.regexp_extract(text, r"\(\d+\)", 0), F.lit(""))
     meta = F.col("kind").isin("section", "quantity")
     told = F.when(meta, F.struct(F.trim(F.regexp_replace(text, r"\(\d+\)", "")).alias("section"), number.alias("quantity")))
-    by = W.partitionBy("table_name").orderBy("row_idx")
+    kinds = rows.select("table_name", "row_idx", "cells", row_kind(F.col("cells")).alias("kind"), F.floor(F.col("row_idx") / BLOCK).alias("block"))
+    kinds = kinds.withColumn("told", told)
+    # what each block of rows hands on, and how many data rows it has
+    blocks = kinds.groupBy("table_name", "block").agg(
+        F.max_by("told", F.when(F.col("told").isNotNull(), F.col("row_idx"))).alias("last_told"),
+        F.count_if(F.col("kind") == "data").alias("n_data"),
+        F.max(meta).alias("has_section"),
+        F.max(F.col("kind") == "quantity").alias("has_quantity"),
+    )
+    before = W.partitionBy("table_name").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy("table_name")
-    filled = kinds.withColumn("told", F.last(told, ignorenulls=True).over(by.rowsBetween(W.unboundedPreceding, 0)))
-    flagged = filled.withColumn("has_section", F.max(meta).over(whole)).withColumn("has_quantity", F.max(F.col("kind") == "quantity").over(whole))
-    data = flagged.where("kind = 'data'")
-    return data.select(
+    carried = blocks.select(
+        "table_name", "block",
+        F.last("last_told", ignorenulls=True).over(before).alias("carry"),
+        F.coalesce(F.sum("n_data").over(before), F.lit(0)).alias("rows_before"),
+        F.max("has_section").over(whole).alias("has_section"),
+        F.max("has_quantity").over(whole).alias("has_quantity"),
+    )
+    within = W.partitionBy("table_name", "block").orderBy("row_idx")
+    filled = kinds.withColumn("told", F.last("told", ignorenulls=True).over(within.rowsBetween(W.unboundedPreceding, 0))).where("kind = 'data'")
+    numbered = filled.withColumn("k", F.row_number().over(within) - 1).join(carried, ["table_name", "block"])
+    known = F.coalesce("told", "carry")
+    return numbered.select(
         "table_name",
-        (F.row_number().over(by) - 1).alias("row_idx"),
-        F.when(F.col("has_section"), F.col("told.section")).alias("section"),
-        F.when(F.col("has_quantity"), F.col("told.quantity")).alias("quantity"),
+        (F.col("rows_before") + F.col("k")).cast("int").alias("row_idx"),
+        F.when(F.col("has_section"), known["section"]).alias("section"),
+        F.when(F.col("has_quantity"), known["quantity"]).alias("quantity"),
         "has_section",
         "has_quantity",
         "cells",

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from loomtab.operators import cleaning as C
@@ -47,7 +48,9 @@ def forward_fill(rows):
     return out
 
 
-def test_forward_fill_equals_a_loop(spark):
+@pytest.mark.parametrize("block", [100_000, 2])
+def test_forward_fill_equals_a_loop(spark, monkeypatch, block):
+    monkeypatch.setattr(C, "BLOCK", block)
     rng = random.Random(1)
     tables, want = [], {}
     for t in range(6):
@@ -60,6 +63,7 @@ def test_forward_fill_equals_a_loop(spark):
     got = {}
     for r in C.propagate_sections(frame(spark, *tables)).orderBy("table_name", "row_idx").collect():
         got.setdefault(r["table_name"], []).append((r["section"], r["quantity"]))
+        assert r["row_idx"] == len(got[r["table_name"]]) - 1
     assert got == {k: v for k, v in want.items() if v}
 
 
