@@ -515,7 +515,7 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     table = F.concat(F.lit("<table class='wikitable'>"), caption, "head", "body", F.lit("</table>"))
     junk = F.lit("<h2>See also</h2><table><tr><th>a<th>b<tr><td>1<td>2</table>")
     page = F.concat(head("h2", "section_h2"), head("h3", "section_h3"), head("h4", "section_h4"), table, junk)
-    return meta.join(tables, "meta_id").select(F.col("meta_id").alias("page_id"), "country", "url", page.alias("html"))
+    return meta.join(tables, "meta_id").select(F.col("meta_id").alias("page_id"), "country", "url", page.alias("html")).repartition(F.col("page_id"))
 
 
 _FLAT = r"trim(regexp_replace({0}, '[\s\x{{00A0}}\x{{2009}}\x{{202F}}\p{{Z}}]+', ' ', 'g'))"

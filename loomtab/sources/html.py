@@ -11,8 +11,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomtab.functions.text import clean_html, section_title, table_key
@@ -220,6 +221,14 @@ _TABLE_FIELDS = (
 )
 
 
+_TABLE_TYPES = (
+    pa.field("table_no", pa.int32()), pa.field("h2", pa.string()), pa.field("h3", pa.string()), pa.field("h4", pa.string()),
+    pa.field("nested", pa.bool_()), pa.field("navbox", pa.bool_()), pa.field("classes", pa.list_(pa.string())),
+    pa.field("parent_classes", pa.list_(pa.string())), pa.field("first_text", pa.string()), pa.field("row_idx", pa.int32()),
+    pa.field("cells", pa.list_(pa.struct([("pos", pa.int32()), ("name", pa.string()), ("value", pa.string())]))),
+)
+
+
 def page_tables(html: str | None) -> Iterator[dict]:
     """One dict per data row of each table, or one with ``row_idx`` None for a table without any."""
     heads: dict[str, str | None] = {"h2": None, "h3": None, "h4": None}
@@ -258,18 +267,25 @@ def extract_tables(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "countr
     """
     text = clean_html(F.col(html)) if clean else F.col(html)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types: pa.Schema | None = None
         for batch in batches:
-            for at in range(len(batch)):  # one page at a time bounds the memory
-                page = batch.iloc[at]
-                rows = [[page[k] for k in keep] + list(r.values()) for r in page_tables(page["__html"])]
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
+            if types is None:
+                types = pa.schema([*list(batch.schema)[:-1], *_TABLE_TYPES])
+            rows: list[dict] = []
+            for i in range(batch.num_rows):
+                page = {k: batch.column(k)[i].as_py() for k in keep}
+                for r in page_tables(batch.column("__html")[i].as_py()):
+                    rows.append(page | r)
+                    if len(rows) >= 2000:  # a page may hold very many rows
+                        yield pa.RecordBatch.from_pylist(rows, types)
+                        rows = []
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, types)
 
     chosen = pages.select(*keep, text.alias("__html")).where("__html IS NOT NULL")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    names = [*keep, *(part.split()[0] for part in _TABLE_FIELDS.split(", "))]
-    return chosen.mapInPandas(run, f"{kinds}, {_TABLE_FIELDS}")
+    return chosen.mapInArrow(run, f"{kinds}, {_TABLE_FIELDS}")
 
 
 def is_junk(title: Column, nested: Column, navbox: Column, classes: Column, parent_classes: Column, first_text: Column) -> Column:
@@ -284,9 +300,9 @@ def wanted_tables(extracted: DataFrame, page: str = "page_id") -> DataFrame:
     """Rows of tables that aren't junk, numbered per page over the kept ones, with title and key."""
     titled = extracted.withColumn("section_title", section_title(F.col("h2"), F.col("h3"), F.col("h4")))
     kept = titled.where(~is_junk(*[F.col(c) for c in ("section_title", "nested", "navbox", "classes", "parent_classes", "first_text")]))
-    tables = kept.where(F.size("cells") > 0).groupBy(page).agg(F.array_sort(F.collect_set("table_no")).alias("nos"))
-    numbered = kept.join(tables, page).withColumn("table_idx", F.array_position("nos", F.col("table_no")).cast("int") - 1).where("table_idx >= 0")
-    return numbered.drop("nos").withColumn("table_name", table_key(F.col("country"), F.col("table_idx"), F.col("section_title")))
+    # one page's tables are numbered together; pages are parsed once
+    numbered = kept.where(F.size("cells") > 0).withColumn("table_idx", F.dense_rank().over(W.partitionBy(page).orderBy("table_no")) - 1)
+    return numbered.withColumn("table_name", table_key(F.col("country"), F.col("table_idx"), F.col("section_title")))
 
 
 def page_links(html: str | None) -> Iterator[tuple[str, str, str, int]]:
@@ -310,12 +326,14 @@ def extract_links(pages: DataFrame, base: str, html: str = "html") -> DataFrame:
     ``/wiki/`` paths without a colon are kept.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch["__html"]:
-                yield pd.DataFrame(list(page_links(text)), columns=["country", "page_title", "href", "link_pos"])
+            rows = [link for text in batch.column(0) for link in page_links(text.as_py())]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.string(), pa.int32()))]
+            if rows:
+                yield pa.RecordBatch.from_arrays(columns, ["country", "page_title", "href", "link_pos"])
 
-    found = pages.select(F.col(html).alias("__html")).where("__html IS NOT NULL").mapInPandas(run, "country string, page_title string, href string, link_pos int")
+    found = pages.select(F.col(html).alias("__html")).where("__html IS NOT NULL").mapInArrow(run, "country string, page_title string, href string, link_pos int")
     host = base.split("://", 1)[-1].replace(".", r"\.")
     inner = F.regexp_replace("href", rf"^(?:https?:)?//{host}(?=/wiki/)", "")
     return (
