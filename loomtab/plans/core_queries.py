@@ -122,9 +122,21 @@ UNION ALL SELECT meta_id, 'removed', name, '' FROM gone g WHERE NOT EXISTS (SELE
 UNION ALL SELECT meta_id, 'added', '', name FROM came g WHERE NOT EXISTS (SELECT 1 FROM ren r WHERE r.meta_id = g.meta_id AND r.new_name = g.name)"""
 
 
+def _versions_sql() -> str:
+    return f"""WITH {_SNAPS},
+cols AS (SELECT sid, name, min_by(family, meta_id) FILTER (family IS NOT NULL) AS family FROM (
+   SELECT i.sid, meta_id, {_KEY.format(c='column_name')} AS name, {_FAMILY.format(c='value_type')} AS family
+   FROM a_meta_table_of_columns JOIN ids i USING (meta_id)) WHERE name <> '' GROUP BY 1, 2),
+prints AS (SELECT sid, count(*) AS n, sha256(array_to_string(list_sort(list(name || chr(1) || coalesce(family, '?'))), chr(2))) AS p FROM cols GROUP BY 1),
+full_ AS (SELECT s.*, coalesce(p, sha256('')) AS fingerprint, coalesce(n, 0) AS n_columns FROM snaps s LEFT JOIN prints USING (sid))
+SELECT a.sid AS meta_id, a.table_name, a.at, a.fingerprint, a.n_columns, a.fingerprint IS DISTINCT FROM b.fingerprint AS is_new_version
+FROM full_ a LEFT JOIN full_ b ON a.pid = b.sid"""
+
+
 ORACLES = {
     "p3_found": _changes_sql(("quantity_clean",)) + "SELECT meta_id, item_no, change_kind FROM both_ WHERE change_kind <> 'changed' OR fields <> ''",
     "p3_fields": _changes_sql(("quantity_clean", "status", "role"))
     + "SELECT change_kind, fields, count(*) AS n FROM both_ WHERE change_kind <> 'changed' OR fields <> '' GROUP BY 1, 2",
     "p5_found": _drift_sql(),
+    "p5_versions": _versions_sql(),
 }
