@@ -42,17 +42,21 @@ def guard_names(names: Sequence[str]) -> str:
     return "|".join(rf"(?<!\p{{L}}){re.sub(r'([^\w\s])', r'\\\1', n)}(?!\p{{L}})" for n in sorted(set(names), key=len, reverse=True))
 
 
-def part(cell: Column, delimiter: str, names: str = "") -> Column:
-    """The non-empty values of a cell under one delimiter pattern; protected text is not parted."""
-    text = F.regexp_replace(cell, f"[{_OPEN}{_CLOSE}{_CUT}{_QUOTE}]", "")
+def protect(cell: Column, names: str = "") -> Column:
+    """A cell with what is never parted between two marks; done once, so that each dialect only looks at the marks."""
+    text = F.translate(cell, _OPEN + _CLOSE + _CUT + _QUOTE, "")
     text = F.regexp_replace(text, '(^|[;,|•/>\\s])"""(?!")', f'$1"{_QUOTE}')
     text = F.regexp_replace(text, '""', _QUOTE)
     kept = "|".join((*([names] if names else []), *PROTECTED))
-    # kept text comes out as <kept> OPEN CLOSE, a delimiter as OPEN <delimiter> CLOSE
-    marked = F.regexp_replace(text, f"({kept})|({delimiter})", f"$1{_OPEN}$2{_CLOSE}")
-    marked = F.regexp_replace(F.regexp_replace(marked, f"{_OPEN}{_CLOSE}", ""), f"{_OPEN}[^{_CLOSE}]*{_CLOSE}", _CUT)
-    values = F.transform(F.split(marked, _CUT), clean_value)
-    return F.filter(values, lambda v: v != "")
+    return F.regexp_replace(text, f"({kept})", f"{_OPEN}$1{_CLOSE}")
+
+
+def part(protected: Column, delimiter: str) -> Column:
+    """The non-empty values of a protected cell under one delimiter pattern."""
+    # a delimiter becomes a cut; marked text comes out whole with a cut behind it, which goes again
+    marked = F.regexp_replace(protected, f"({_OPEN}[^{_CLOSE}]*+{_CLOSE})|(?:{delimiter})", f"$1{_CUT}")
+    values = F.split(F.regexp_replace(marked, f"{_CLOSE}{_CUT}", _CLOSE), _CUT)
+    return F.filter(F.transform(values, lambda v: clean_value(F.translate(v, _OPEN + _CLOSE, ""))), lambda v: v != "")
 
 
 def clean_value(v: Column) -> Column:
@@ -93,9 +97,12 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     long = rows.select(id_, F.inline(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("cell")) for f in fields])))
     long = long.where("cell IS NOT NULL")
     cells = long.groupBy("field_name", "cell").agg(F.count(F.lit(1)).alias("n"))
-    each = [F.struct(F.lit(i).alias("rank"), F.lit(d).alias("dialect"), part(F.col("cell"), rx, names).alias("items")) for i, (d, rx) in enumerate(DIALECTS)]
-    any_delimiter = "|".join(f"(?:{rx})" for _, rx in DIALECTS[1:])
-    parses = cells.select("field_name", "cell", "n", F.when(F.col("cell").rlike(any_delimiter), F.array(*each)).otherwise(F.array(each[0])).alias("all"))
+    each = [F.struct(F.lit(i).alias("rank"), F.lit(d).alias("dialect"), part(F.col("protected"), rx).alias("items")) for i, (d, rx) in enumerate(DIALECTS)]
+    # a dialect whose delimiter isn't there parts like the first, so it need not be tried
+    tried = [each[0], *[F.when(F.col("cell").rlike(rx), e) for e, (_, rx) in zip(each[1:], DIALECTS[1:])]]
+    parses = cells.select("*", protect(F.col("cell"), names).alias("protected")).select(
+        "field_name", "cell", "n", F.filter(F.array(*tried), lambda w: w.isNotNull()).alias("all")
+    )
     # dialects that part alike are one, known by the first of them
     distinct = F.filter("all", lambda p, i: F.size(F.filter(F.slice(F.col("all"), 1, i), lambda q: q["items"] == p["items"])) == 0)
     # each distinct cell is parsed once: kept in the shared folder, or the filter below would move before the grouping
