@@ -190,3 +190,34 @@ def test_older_groupings(spark):
     reps = spark.createDataFrame([("c", (["h"], ["q"], ["c"], ["a"]))], f"cluster string, profile {profile}")
     got = {r["cluster"]: round(r["confidence"], 6) for r in legacy.confidence_to_representative(tables, reps).collect()}
     assert got == {"c": 0.85, "z": 0.0}
+
+
+def test_greedy_clusters(spark):
+    def profile(h, c, cols=()):
+        return ([h], [], list(c), list(cols))
+
+    rows = [
+        ("a", 0, profile("tank", "x")), ("b", 1, profile("tank", "x", ["q"])), ("c", 2, profile("ship", "y")), ("d", 3, profile("ship", "xyz")),
+        ("e", 4, profile("gun", "z")), ("f", 5, (None, None, None, None)),
+    ]
+    schema = "table_name string, seq int, profile struct<header:array<string>,parent:array<string>,category:array<string>,column:array<string>>"
+    df = spark.createDataFrame(rows, schema)
+    got = {r["table_name"]: (r["cluster"], r["is_seed"]) for r in legacy.greedy_clusters(df).collect()}
+    assert got == {"a": ("a", True), "b": ("a", False), "c": ("c", True), "d": ("c", False), "e": ("e", True), "f": ("f", True)}
+    with pytest.raises(ValueError):
+        legacy.greedy_clusters(df, max_tables=2)
+    assert legacy.greedy_clusters(df.limit(0)).count() == 0
+
+
+def test_heading_names(spark):
+    df = spark.createDataFrame([("Naval Ships", "Old tanks", "Guns"), (None, "Tanks", "Guns"), ("A", "B", None), (None, None, "Guns"), ("", None, None)], "h2 string, h3 string, h4 string")
+    leaf, parent = legacy.leaf_and_parent(*map(F.col, ("h2", "h3", "h4")))
+    assert [tuple(r) for r in df.select(leaf, parent).collect()] == [("naval_ship", "old_tank"), ("tank", "tank"), ("a", "a"), ("gun", None), (None, None)]
+
+
+def test_cluster_hierarchy(spark):
+    rows = [("tank", "vehicle", 3), ("truck", "vehicle", 1), ("frigate", "ship", 2), ("ship", "sea", 1), ("self", "self", 1), ("p", "q", 1), ("q", "p", 1), ("tank", "land", 1)]
+    got = {r["name"]: (r["parent"], r["n_tables"]) for r in legacy.cluster_hierarchy(spark.createDataFrame(rows, "name string, parent string, n_tables bigint")).collect()}
+    assert got == {
+        "tank": ("vehicle", 4), "truck": ("vehicle", 1), "vehicle": (None, 0), "frigate": ("ship", 2), "ship": (None, 1), "self": (None, 1), "p": (None, 1), "q": ("p", 1),
+    }
