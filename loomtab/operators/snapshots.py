@@ -87,10 +87,10 @@ def snapshot_changes(
         ),
         lambda s: s["in_id"].isNotNull(),
     )
-    signed = items.select(*key, cells.alias("cells"), F.inline(signs)).select("in_id", *key, "sign", F.inline("cells"))
-    # placed once by snapshot and key: both sums below keep that placing
-    placed = signed.repartition("in_id", *key)
-    nonzero = placed.groupBy("in_id", *key, "field", "value").agg(F.sum("sign").alias("sign")).where("sign <> 0")
+    # placed once by snapshot and key, before unpivoting: both sums below keep that placing
+    placed = items.select(*key, *fields, F.inline(signs)).repartition("in_id", *key)
+    signed = placed.select("in_id", *key, "sign", F.inline(cells))
+    nonzero = signed.groupBy("in_id", *key, "field", "value").agg(F.sum("sign").alias("sign")).where("sign <> 0")
     kinds = nonzero.groupBy("in_id", *key).agg(
         F.sum(F.when(F.col("field") == PRESENCE, F.col("sign")).otherwise(0)).alias("presence"),
         F.array_sort(F.collect_set(F.when(F.col("field") != PRESENCE, F.col("field")))).alias("changed_fields"),
