@@ -39,7 +39,8 @@ def p3_fields(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_all(spark: SparkSession, d: str) -> DataFrame:
     rows = read_table(spark, d, "a_master_equipment")
-    return packed.split_packed(rows, PACKED_FIELDS, packed.names_with_delimiters(rows))
+    countries = rows.select("country").union(read_table(spark, d, "a_meta_table").select("country"))
+    return packed.split_packed(rows, PACKED_FIELDS, packed.names_with_delimiters(countries))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
