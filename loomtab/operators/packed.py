@@ -14,9 +14,10 @@ DIALECTS: tuple[tuple[str, str], ...] = (
     ("single", r"(?!)"),
     ("strong", r";[;\s]*|[|•·‣▪¦]|(?i:<br ?/?>)|[\r\n]|\s/\s"),
     ("numbered", r"(?:^|\s)(?:\(\d{1,3}\)|\d{1,3}[.)])\s"),
-    ("comma", r",(?:\s*(?:and|&)\s)?"),
-    ("comma_and", r",(?:\s*(?:and|&)\s)?|\s(?:and|&)\s"),
+    ("comma", r",(?:\s*(?:and|or|&)\s)?"),
+    ("comma_and", r",(?:\s*(?:and|or|&)\s)?|\s(?:and|or|&)\s"),
     ("slash", r"/"),
+    ("or", r"\sor\s"),
 )
 
 _MONTHS = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"

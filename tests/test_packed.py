@@ -61,3 +61,15 @@ def test_empty_table(spark):
 def test_names_with_delimiters(spark):
     df = spark.createDataFrame([("Ostra and Merrin",), ("L'Orme",), (None,), ("A, B",)], "country string")
     assert names_with_delimiters(df) == ["A, B", "Ostra and Merrin"]
+
+
+def test_values_joined_by_or(spark):
+    cases = {
+        "Zemlin or Mirrow": ["Zemlin", "Mirrow"],
+        "Mirrow or Mirrow": ["Mirrow", "Mirrow"],
+        "«Zemlin» or “Mirrow Yards, Zemlin”": ["Zemlin", "Mirrow Yards, Zemlin"],
+        "Zemlin (kits or parts) or Mirrow": ["Zemlin (kits or parts)", "Mirrow"],
+        "Zemlin, Mirrow, or Ostra and Merrin": ["Zemlin", "Mirrow", "Ostra and Merrin"],
+        "Ostra or Merrin": ["Ostra or Merrin"],
+    }
+    assert dict(zip(cases, parts(spark, cases, ("Ostra and Merrin", "Ostra or Merrin")))) == cases
