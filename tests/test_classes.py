@@ -221,3 +221,18 @@ def test_cluster_hierarchy(spark):
     assert got == {
         "tank": ("vehicle", 4), "truck": ("vehicle", 1), "vehicle": (None, 0), "frigate": ("ship", 2), "ship": (None, 1), "self": (None, 1), "p": (None, 1), "q": ("p", 1),
     }
+
+
+def test_column_classes_from_all_mappings(spark, tmp_path):
+    """Names that only one scrape maps have their rule, whichever scrape it is."""
+    import __spark_entry__ as entry
+    from loomtab.schemas import MAPPED_FIELDS
+
+    kinds = ", ".join(f"{f} string" for f in MAPPED_FIELDS)
+    told = [(i, *[{"speed": f"speed {i}", "dates": f"year {i}"}.get(f) for f in MAPPED_FIELDS]) for i in range(3)]
+    spark.createDataFrame(told, f"meta_id bigint, {kinds}").write.parquet(str(tmp_path / "a_mapping_table.parquet"))
+    cols = [(7, f"{n} {i}", 2 * i + k) for i in range(3) for k, n in enumerate(("Speed", "Year"))]
+    spark.createDataFrame(cols, "meta_id bigint, column_name string, pos int").write.parquet(str(tmp_path / "a_meta_table_of_columns.parquet"))
+    got = {r["raw_col"]: r["super_col"] for r in entry.queries()["column_classes_all"](spark, str(tmp_path)).collect()}
+    assert got == {f"{n} {i}": c for i in range(3) for n, c in (("speed", "speed"), ("year", "dates"))}
+    assert "% 3" not in entry.oracle_sql()["column_classes_all"]
