@@ -154,9 +154,11 @@ def migration_steps(columns: DataFrame, mapping: DataFrame, meta: DataFrame) ->
 
 
 def final_names(steps: DataFrame, chain: DataFrame, rounds: int = 20) -> DataFrame:
-    """``table_name, since, name, final_name``: where each renamed column ends up by the chain of later renames.
+    """``table_name, since, name, final_name, until, renamed``: where each column that goes ends up by the chain of later renames.
 
-    ``since`` is the time of the rename that takes ``name`` away. Each round
+    ``since`` is the time of the step that takes ``name`` away, a rename or
+    (``renamed`` is false) a removal. ``until`` is the time of the removal that
+    ends the chain, NULL if it stands to the end. Each round
     follows twice as many renames as the one before, so ``rounds`` bounds the
     length of a chain by 2 to that power; the loop ends when nothing moves.
     """
@@ -170,21 +172,24 @@ def final_names(steps: DataFrame, chain: DataFrame, rounds: int = 20) -> DataFra
     kept = renames.join(hop.groupBy("table_name", "since", "name").agg(F.min("nx").alias("nx")), ["table_name", "since", "name"], "left")
     links = cut_lineage(
         kept.select(
-            "table_name", "since", "name", "final_name", F.when(F.col("nx.change_kind") == "renamed", F.col("nx.since")).alias("next_since")
+            "table_name", "since", "name", "final_name", F.when(F.col("nx.change_kind") == "renamed", F.col("nx.since")).alias("next_since"),
+            F.when(F.col("nx.change_kind") == "removed", F.col("nx.since")).alias("until"),
         )
     )
     for _ in range(rounds):
         if links.where("next_since IS NOT NULL").isEmpty():
             break
         onward = links.select(
-            "table_name", F.col("since").alias("next_since"), F.col("name").alias("final_name"), F.col("final_name").alias("far"), F.col("next_since").alias("far_since")
+            "table_name", F.col("since").alias("next_since"), F.col("name").alias("final_name"), F.col("final_name").alias("far"), F.col("next_since").alias("far_since"),
+            F.col("until").alias("far_until"),
         )
         links = cut_lineage(
             links.join(onward, ["table_name", "next_since", "final_name"], "left").select(
-                "table_name", "since", "name", F.coalesce("far", "final_name").alias("final_name"), F.col("far_since").alias("next_since")
+                "table_name", "since", "name", F.coalesce("far", "final_name").alias("final_name"), F.col("far_since").alias("next_since"), F.coalesce("far_until", "until").alias("until")
             )
         )
-    return links.select("table_name", "since", "name", "final_name")
+    removals = events.where("change_kind = 'removed'").select("table_name", "since", "name", F.col("name").alias("final_name"), F.col("since").alias("until"))
+    return links.drop("next_since").withColumn("renamed", F.lit(True)).unionByName(removals.withColumn("renamed", F.lit(False)))
 
 
 def consistent_rows(raw_rows: DataFrame, columns: DataFrame, mapping: DataFrame, meta: DataFrame) -> DataFrame:
@@ -195,7 +200,10 @@ def consistent_rows(raw_rows: DataFrame, columns: DataFrame, mapping: DataFrame,
     out with a NULL value (the default), so all snapshots of a table have the
     same columns. ``family`` is the column's newest known type; a value that
     can't be cast to it stays as text here and is NULL in ``value_cast``.
-    NULL cells stay NULL; rows without cells give only defaults.
+    NULL cells stay NULL; rows without cells give only defaults. A removed
+    column and a later one of the same name share it; only where they clash, as
+    a snapshot has both under their names of the time, the removed one comes
+    out under ``name (until time)``, so that no cell is lost.
     """
     chain = snapshot_chain(meta)
     steps = cut_lineage(migration_steps(columns, mapping, meta))
@@ -204,10 +212,19 @@ def consistent_rows(raw_rows: DataFrame, columns: DataFrame, mapping: DataFrame,
     cols = snapshot_columns(columns, mapping, chain).select("snapshot_id", "name", "family")
     known = cols.join(seen.select("snapshot_id", "table_name", "at").distinct(), "snapshot_id")
     routed = known.join(names, ["table_name", "name"], "left").groupBy("snapshot_id", "table_name", "at", "name", "family").agg(
-        F.min(F.when(F.col("since") > F.col("at"), F.struct("since", "final_name"))).alias("r")
+        F.min(F.when(F.col("renamed") & (F.col("since") > F.col("at")), F.struct("since", "final_name"))).alias("r"),
+        F.min(F.when(F.col("since") > F.col("at"), F.struct("since", "final_name", "until"))).alias("e"),
     )
-    # a later 'removed' ends a name, so a column that comes again under it is another one only by time; they share the name
-    routed = routed.select("snapshot_id", "table_name", "at", "name", "family", F.coalesce("r.final_name", "name").alias("final_name"))
+    # a later 'removed' ends a name, so a column that comes again under it is another one only by time; they share the name unless they clash
+    routed = routed.select(
+        "snapshot_id", "table_name", "at", "name", "family", F.coalesce("r.final_name", "name").alias("final_name"),
+        F.coalesce("e.final_name", "name").alias("own_name"), F.col("e.until").alias("until"),
+    )
+    clash = F.count(F.lit(1)).over(W.partitionBy("snapshot_id", "final_name")) > 1
+    clashes = F.max("clash").over(W.partitionBy("table_name", "own_name", "until"))
+    apart = F.concat("own_name", F.lit(" (until "), F.col("until").cast("string"), F.lit(")"))
+    routed = routed.withColumn("clash", clash).withColumn("clashes", clashes)
+    routed = routed.withColumn("final_name", F.when(F.col("clashes") & F.col("until").isNotNull(), apart).otherwise(F.col("final_name")))
     finals = routed.groupBy("table_name", "final_name").agg(F.max_by("family", F.when(F.col("family").isNotNull(), F.col("at"))).alias("family"))
     cells = raw_rows.select("meta_id", "table_name", "row_idx", F.posexplode_outer("cells").alias("i", "cell"))
     cells = cells.select("meta_id", "table_name", "row_idx", column_key(F.col("cell.name")).alias("name"), F.col("cell.value").alias("value"))

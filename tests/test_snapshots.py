@@ -126,3 +126,22 @@ def test_rows_follow_chained_renames(spark):
 def test_versions(spark):
     got = drift.schema_versions(*drift_case(spark, [{"a": "int", "b": "text"}, {"B": "VARCHAR", "A": "BIGINT"}, {"a": "int"}])).collect()
     assert {r["meta_id"]: (r["n_columns"], r["is_new_version"]) for r in got} == {1: (2, True), 2: (2, False), 3: (1, True)}
+
+
+def test_rows_keep_both_cells_of_a_removed_and_a_renamed_column(spark):
+    versions = [{"a": "int", "b": "int"}, {"a": "int"}, {"b": "int"}, {"c": "int"}]
+    cols, maps, meta = drift_case(spark, versions[:3], [{"quantity": "a"}, {"quantity": "a"}, {"quantity": "b"}])
+    schema = "meta_id bigint, table_name string, row_idx int, cells array<struct<pos:int,name:string,value:string>>"
+    raw = spark.createDataFrame([(1, "t", 0, [(0, "A", "1"), (1, "B", "2")]), (2, "t", 0, [(0, "a", "3")]), (3, "t", 0, [(0, "b", "4")])], schema)
+    old = f"b (until {T0 + timedelta(days=1)})"
+    got = {(r["meta_id"], r["column_name"]): r["value"] for r in drift.consistent_rows(raw, cols, maps, meta).collect()}
+    assert got == {(1, "b"): "1", (1, old): "2", (2, "b"): "3", (2, old): None, (3, "b"): "4", (3, old): None}
+    # the name goes on to another one, and the removed column stays apart
+    cols, maps, meta = drift_case(spark, versions, [{"quantity": "a"}, {"quantity": "a"}, {"quantity": "b"}, {"quantity": "c"}])
+    got = {(r["meta_id"], r["column_name"]): r["value"] for r in drift.consistent_rows(raw, cols, maps, meta).collect()}
+    assert got == {(1, "c"): "1", (1, old): "2", (2, "c"): "3", (2, old): None, (3, "c"): "4", (3, old): None}
+    # without a clash a column that comes again shares its name
+    cols, maps, meta = drift_case(spark, [{"b": "int"}, {}, {"b": "int"}])
+    again = spark.createDataFrame([(1, "t", 0, [(0, "b", "1")]), (3, "t", 0, [(0, "b", "2")])], schema)
+    got = {(r["meta_id"], r["column_name"]): r["value"] for r in drift.consistent_rows(again, cols, maps, meta).collect()}
+    assert got == {(1, "b"): "1", (3, "b"): "2"}
