@@ -45,7 +45,7 @@ _ENDS = {
     "dt": ({"dd", "dt"}, {"dl"}),
     "option": ({"option"}, {"select"}),
 }
-#: Spans beyond this are cut, as in the HTML standard.
+#: Spans over columns beyond this are cut, as in the HTML standard; those over rows only end with the table.
 MAX_SPAN = 1000
 
 
@@ -146,10 +146,10 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-def span(value: str | None) -> int:
-    """The digits of a span attribute; 1 if there are none."""
+def span(value: str | None, most: int = MAX_SPAN) -> int:
+    """The digits of a span attribute, at most ``most``; 1 if there are none."""
     digits = "".join(c for c in value or "" if c.isdigit())
-    return min(int(digits[:6]), MAX_SPAN) if digits else 1
+    return min(int(digits.lstrip("0")[:9] or 0), most) if digits else 1
 
 
 def own_rows(table: Node) -> list[list[Node]]:
@@ -192,7 +192,7 @@ def expand(rows: list[list[Node]]) -> list[list[str | None]]:
             elif cell is None:
                 line.append(None)
             else:
-                text, high = cell.spaced_text(), span(cell.attrs.get("rowspan"))
+                text, high = cell.spaced_text(), span(cell.attrs.get("rowspan"), len(rows))
                 for _ in range(span(cell.attrs.get("colspan"))):
                     if high > 1:
                         down[len(line)] = (high - 1, text)

@@ -61,3 +61,10 @@ def test_links(spark):
     assert [(r["country"], r["page_title"], r["url"]) for r in got] == [
         ("Land A", "X", "https://w.example/wiki/X"), ("Land A", "Y y", "https://w.example/wiki/Y"), ("Land A", "Z", "https://w.example/wiki/Z"),
     ]
+
+
+def test_a_cell_may_span_very_many_rows():
+    body = "".join(f"<tr><td>{i}" for i in range(2, 2_001))
+    for high in ("2000", "65534", "9999999"):
+        rows = list(H.page_tables(f"<table><tr><th>k<th>v<tr><td rowspan={high}>all<td>1{body}</table>"))
+        assert [[c["value"] for c in r["cells"]] for r in rows] == [["all", str(i)] for i in range(1, 2_001)]
