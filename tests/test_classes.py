@@ -236,3 +236,12 @@ def test_column_classes_from_all_mappings(spark, tmp_path):
     got = {r["raw_col"]: r["super_col"] for r in entry.queries()["column_classes_all"](spark, str(tmp_path)).collect()}
     assert got == {f"{n} {i}": c for i in range(3) for n, c in (("speed", "speed"), ("year", "dates"))}
     assert "% 3" not in entry.oracle_sql()["column_classes_all"]
+
+
+def test_limits_are_in_the_readme():
+    import inspect
+    from pathlib import Path
+
+    readme = " ".join((Path(__file__).parent.parent / "README.md").read_text().split())
+    for f, limit in ((legacy.greedy_clusters, "max_tables"), (legacy.cluster_hierarchy, "max_nodes"), (classification.classify_one_by_one, "max_features")):
+        assert f"`{f.__name__}` beyond {inspect.signature(f).parameters[limit].default:,} " in readme
