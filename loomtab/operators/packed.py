@@ -70,11 +70,12 @@ def clean_value(v: Column) -> Column:
 
 
 def value_shape(v: Column) -> Column:
-    """The writing pattern of a value: runs of capitals, small letters and digits as one sign each."""
+    """The writing pattern of a value: runs of capitals, small letters and digits as one sign each; a long pattern by its SHA-256."""
     s = F.regexp_replace(v, r"\p{Lu}?\p{Ll}+", "a")
     s = F.regexp_replace(s, r"\p{Lu}+", "A")
     s = F.regexp_replace(s, r"\d+", "9")
-    return F.substring(F.regexp_replace(s, r"a (?=a(?!\p{L}))", ""), 1, 60)
+    s = F.regexp_replace(s, r"a (?=a(?!\p{L}))", "")
+    return F.when(F.length(s) <= 60, s).otherwise(F.concat(F.lit(_OPEN), F.sha2(s, 256)))
 
 
 def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] = (), id_: str = "row_id") -> DataFrame:

@@ -73,3 +73,11 @@ def test_values_joined_by_or(spark):
         "Ostra or Merrin": ["Ostra or Merrin"],
     }
     assert dict(zip(cases, parts(spark, cases, ("Ostra and Merrin", "Ostra or Merrin")))) == cases
+
+
+def test_long_writing_patterns_differ_to_their_end(spark):
+    from loomtab.operators.packed import value_shape
+
+    rows = [("long", "Ab-1/" * 20 + "end"), ("same", "Cd-27/" * 20 + "other"), ("other", "Ab-1/" * 20 + "9"), ("short", "Old Anvil, Mk 3")]
+    got = {r["k"]: r["s"] for r in spark.createDataFrame(rows, "k string, v string").select("k", value_shape("v").alias("s")).collect()}
+    assert got["long"] == got["same"] != got["other"] and got["short"] == "a, a 9"
