@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from loomtab.functions.fold import halfwidth, strip_accents
 from loomtab.session import cut_lineage
 
-#: Decorations around a heading (Java patterns, applied to the folded text in turn until nothing changes; fixed values).
+#: Decorations around a heading (Java patterns, applied to the folded text until nothing changes; fixed values).
 LEADING = (
-    r"^[\s•*·‣▪#>=–—-]+",
-    r"^(?:table|tab\.|section|figure) \d+ ?[:.)-] ?",
-    r"^\(?\d+(?:\.\d+)*[.):]? +",
-    r"^(?:list of|lists of|the|active|all) +",
+    r"[\s•*·‣▪#>=–—-]+",
+    r"(?:table|tab\.|section|figure) \d+ ?[:.)-] ?",
+    r"\(?\d+(?:\.\d+)*[.):]? +",
+    r"(?:list of|lists of|the|active|all) +",
 )
 TRAILING = (
-    r"(?<![\s*:;.,=†‡-])[\s*:;.,=†‡-]++$",
-    r" ?\[[^\[\]]*\]$",
-    r" ?\((?:\d+|current|in service|active)\)$",
-    r" ?(?:- )?(?:in service|since \d{4})$",
+    r"[\s*:;.,=†‡-]++",
+    r" ?\[[^\[\]]*\]",
+    r" ?\((?:\d+|current|in service|active)\)",
+    r" ?(?:- )?(?:in service|since \d{4})",
 )
-#: Rounds of stripping; each round takes one decoration of each kind.
-ROUNDS = 3
 
 
 def fold_value(c: Column) -> Column:
@@ -34,10 +32,10 @@ def fold_value(c: Column) -> Column:
 
 
 def strip_decorations(c: Column) -> Column:
-    for _ in range(ROUNDS):
-        for rx in (*TRAILING, *LEADING):
-            c = F.regexp_replace(c, rx, "")
-    return F.trim(c)
+    # a run of decorations is taken whole; one that ends before the text does stays with the sign behind it, so each is read once
+    run = f"(?:{'|'.join(TRAILING)})++"
+    c = F.regexp_replace(c, f"(?s)({run}(?!$).)|{run}$", "$1")
+    return F.trim(F.regexp_replace(c, f"^(?:{'|'.join(LEADING)})++", ""))
 
 
 def readings(c: Column) -> Column:

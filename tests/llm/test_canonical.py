@@ -34,3 +34,11 @@ def test_ties_name_none_and_empty_tables(spark):
     assert mapped(spark, ["Rxd boat", "Rid boat"], tied) == {"Rxd boat": 0, "Rid boat": 2}
     assert mapped(spark, ["a"], []) == {"a": 0}
     assert mapped(spark, []) == {}
+
+
+def test_any_number_of_decorations(spark):
+    cases = {
+        "SMG [1][2][3][4]": 16, "SMG [1] (2) [3] * (4) [5]; (current) [6] – in service [7]": 16, "1. (2) 3) 4. 5. SMG": 16, "the active the active list of SMG": 16,
+        "Naval craft" + " [9]" * 3_000: 2, "[1]" * 30_000 + "x": 0, "SMG [1][2][3][4] x": 0,
+    }
+    assert mapped(spark, cases) == cases
