@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomtab.functions import quantity as Q
 from loomtab.functions import text as X
-from loomtab.operators import classification, cleaning, legacy, mapping, refine, summary, taxonomy
+from loomtab.operators import classification, cleaning, drift, legacy, mapping, refine, summary, taxonomy
 from loomtab.schemas import CANONICAL_COLUMNS, MAPPED_FIELDS
 from loomtab.session import cut_lineage, read_table
 from loomtab.sources import files, html
@@ -280,6 +280,16 @@ def pivot_types(spark: SparkSession, d: str) -> DataFrame:
     return cols.groupBy("meta_id").pivot("value_type", list(_TYPES)).agg(F.count(F.lit(1))).fillna(0)
 
 
+_FAMILY = "CASE trim(regexp_replace(lower(value_type), '[\\[(<].*$', '')) " + " ".join(f"WHEN '{n}' THEN '{f}'" for f, ns in drift.FAMILIES.items() for n in ns) + " ELSE 'unknown' END"
+
+
+@query("SELECT meta_id, " + ", ".join(f"count(*) FILTER ({_FAMILY} = '{f}') AS \"{f}\"" for f in (*drift.FAMILIES, "unknown")) + " FROM a_meta_table_of_columns GROUP BY 1")
+def pivot_type_families(spark: SparkSession, d: str) -> DataFrame:
+    """Every typed or untyped column counts once, however its type is spelled."""
+    cols = read_table(spark, d, "a_meta_table_of_columns").select("meta_id", F.coalesce(drift.type_family(F.col("value_type")), F.lit("unknown")).alias("family"))
+    return cols.groupBy("meta_id").pivot("family", [*drift.FAMILIES, "unknown"]).agg(F.count(F.lit(1))).fillna(0)
+
+
 @query("""
 SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY scrape_timestamp DESC, meta_id DESC) AS k FROM a_meta_table) WHERE k = 1""")
 def upsert_last_wins(spark: SparkSession, d: str) -> DataFrame:

@@ -245,3 +245,12 @@ def test_limits_are_in_the_readme():
     readme = " ".join((Path(__file__).parent.parent / "README.md").read_text().split())
     for f, limit in ((legacy.greedy_clusters, "max_tables"), (legacy.cluster_hierarchy, "max_nodes"), (classification.classify_one_by_one, "max_features")):
         assert f"`{f.__name__}` beyond {inspect.signature(f).parameters[limit].default:,} " in readme
+
+
+def test_pivot_counts_every_column(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    types = ["TEXT", "varchar(20)", "BIGINT", "int64", "Double", "DATE", "odd", "", None]
+    spark.createDataFrame([(1, t) for t in types], "meta_id bigint, value_type string").write.parquet(str(tmp_path / "a_meta_table_of_columns.parquet"))
+    got = entry.queries()["pivot_type_families"](spark, str(tmp_path)).first().asDict()
+    assert got == {"meta_id": 1, "text": 2, "whole number": 2, "real number": 1, "date or time": 1, "unknown": 3}
