@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtab.functions.fold import halfwidth, strip_accents
+from loomtab.llm.fold import halfwidth, strip_accents
 from loomtab.session import cut_lineage
 
 #: Decorations around a heading (Java patterns, applied to the folded text until nothing changes; fixed values).
@@ -59,15 +59,30 @@ def words(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, r"[\s-]+"), squeeze), lambda w: w != "")
 
 
-def grams(c: Column, sizes: tuple[int, ...] = (2, 3)) -> Column:
-    """Distinct character n-grams of a squeezed text with its two ends marked."""
+#: What each kind of n-gram weighs in the cosine: single letters tell a typing error from another word, longer grams tell words apart (fixed values).
+FACTORS = {1: 6.0, 2: 1.0, 3: 0.5}
+#: Letters that may differ in the exact check, by the length of the name: none up to the first bound, one up to the second, two beyond (fixed values).
+SHORT, MIDDLE = 4, 8
+MOST_LETTERS = 2
+#: Words of the reference from this length on abbreviate nothing (fixed value); shorter ones may, as in ``sub``.
+WHOLE = 4
+#: An edit spoils at most two 2-grams of a text, so texts that differ by MOST_LETTERS share one of this many rarest ones.
+RAREST = 2 * MOST_LETTERS + 1
+
+
+def grams(c: Column) -> Column:
+    """Distinct character 1-, 2- and 3-grams of a squeezed text; the longer ones see its two ends, the single letters are numbered by occurrence."""
     s = F.concat(F.lit("^"), c, F.lit("$"))
 
     def of(k: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.length(s) - k + 1, F.lit(1)))
         return F.transform(starts, lambda i: F.substr(s, i, F.lit(k)))
 
-    return F.array_distinct(F.flatten(F.array(*map(of, sizes))))
+    def letter(i: Column) -> Column:
+        one, upto = F.substr(c, i, F.lit(1)), F.substr(c, F.lit(1), i)
+        return F.concat(one, F.lit("#"), (F.length(upto) - F.length(F.replace(upto, one, F.lit("")))).cast("string"))
+
+    return F.array_distinct(F.concat(F.transform(F.sequence(F.lit(1), F.length(c)), letter), of(2), of(3)))
 
 
 def _plurals(c: Column) -> Column:
@@ -76,98 +91,118 @@ def _plurals(c: Column) -> Column:
     )
 
 
+def _letters(form: Column, target: Column) -> Column:
+    """The letters in which a form differs from a name or its plural."""
+    return F.array_min(F.transform(_plurals(target), lambda p: F.levenshtein(p, form)))
+
+
+def _written_out(asked: DataFrame, names: DataFrame) -> DataFrame:
+    """``text, form``: readings with their abbreviations written out as words of one name.
+
+    A token abbreviates a longer word with the same first letter if its letters
+    stand in that word in order and it is no word of :data:`WHOLE` letters or
+    more itself. Words are found by the token's first two
+    letters. There is at most one form per reading and name, so nothing grows
+    with the product of what each token may mean.
+    """
+    listed = names.select("name", F.posexplode(words(F.col("name"))).alias("at", "word"))
+    known = listed.select(F.col("word").alias("token")).distinct()
+    tokens = asked.select(F.explode(words(F.col("reading"))).alias("token")).where("length(token) >= 2").distinct()
+    stems = tokens.withColumn("stem", F.regexp_replace("token", "(?<=...)s$", ""))
+    whole = known.where(F.length("token") >= WHOLE)
+    unknown = stems.join(whole, "token", "left_anti").join(whole.withColumnRenamed("token", "stem"), "stem", "left_anti")
+    later = F.array_distinct(F.split(F.substring("word", 2, 1 << 30), ""))
+    keyed = known.select(F.col("token").alias("word")).select("word", F.explode(F.filter(later, lambda x: x != "")).alias("second"))
+    keyed = keyed.select("word", F.concat(F.substring("word", 1, 1), "second").alias("key"))
+    pairs = unknown.withColumn("key", F.substring("stem", 1, 2)).join(keyed, "key").where(F.length("word") * 2 >= F.length("stem") * 3)
+    short = pairs.where(F.rlike("word", F.array_join(F.split("stem", ""), ".*"))).select("token", "word")
+    placed = asked.select("text", "reading", F.posexplode(words(F.col("reading"))).alias("i", "token"))
+    hits = placed.join(short, "token").join(listed, "word").groupBy("text", "reading", "name", "i").agg(
+        F.min(F.struct((F.col("at") != F.col("i")).alias("elsewhere"), "at", "word")).alias("w")  # the word in the same place before others
+    )
+    swaps = hits.groupBy("text", "reading", "name").agg(F.map_from_entries(F.collect_list(F.struct("i", F.col("w.word")))).alias("swaps"))
+    form = F.array_join(F.transform(words(F.col("reading")), lambda t, i: F.coalesce(F.try_element_at("swaps", i), t)), "")
+    return swaps.select("text", form.alias("form"))
+
+
 def map_to_reference(
-    values: DataFrame, reference: DataFrame, threshold: float = 0.2, margin: float = 0.02, floor: float = 0.12
+    values: DataFrame, reference: DataFrame, threshold: float = 0.68, margin: float = 0.01, written_out: float = 0.95
 ) -> DataFrame:
     """``value, node_id, score`` of each distinct non-blank value; 0 where it names no entry.
 
     ``values`` has one column ``value``; ``reference`` has ``node_id, name`` and
     may hold several names for an entry. Steps: deduplicate; fold, strip
-    decorations, turn inverted readings round; write out abbreviations (a short
-    word whose letters stand in order in one reference word with the same first
-    letter); find candidates that share character 2- and 3-grams through an
-    inverted index; score the weighted cosine (inverse document frequency over
-    the reference); accept the best entry whose score reaches ``threshold`` and
-    beats the next entry as close in letters by ``margin``. An exact check follows on candidates:
-    spelling may differ by at most two letters (one for names up to eight
-    letters, none for names up to four), its plural forms included, so a value
-    that only shares a word with an entry names none. An equal name always wins.
-
-    NULL and blank values give no row; ties beyond all that name no entry.
-    Values longer than the longest name of the reference by more than the
-    letters that may differ name no entry, and get their row without a search.
-    An empty reference maps all values to 0.
+    decorations, turn inverted readings round; write out abbreviations; find
+    candidates through an inverted index of rare character 2-grams; score the
+    weighted cosine of 1-, 2- and 3-grams (inverse document frequency over the
+    reference, plural forms included; forms written out count ``written_out``
+    of it); the best entry holds if its score reaches ``threshold`` and beats
+    every other candidate entry by ``margin``. An exact check follows on that
+    entry alone: spelling may differ by at most two letters (one for names up
+    to eight letters, none for names up to four), so a value that only shares
+    words with an entry names none. A value equal to one entry's name names it
+    whatever the margin.
+
+    The index holds the five rarest 2-grams of each name and value. Two edits
+    spoil at most four of them, so no entry that the exact check would pass is
+    missed.
+
+    NULL and blank values give no row; ties name no entry. Values longer than
+    the longest name of the reference by more than the letters that may differ
+    name no entry, and get their row without a search. An empty reference maps
+    all values to 0.
     """
     distinct = values.select("value").where(F.trim(F.regexp_replace("value", r"[\s\p{Z}\p{Cf}]+", " ")) != "").distinct()
     folded = distinct.select("value", strip_decorations(fold_value(F.col("value"))).alias("text"))
     names = reference.select("node_id", fold_value(F.col("name")).alias("name")).where("name <> ''").distinct()
-    # two small facts about the reference list; a longer reading, or one with more words, can't be one of its names
-    most, longest = names.agg(F.max(F.size(words(F.col("name")))), F.max(F.length("name"))).first()
-    most, longest = most or 0, (longest or 0) + 5
+    entry = names.select("node_id", squeeze(F.col("name")).alias("target")).where("target <> ''").distinct()
+    # two small facts about the reference list; a longer reading can't be one of its names
+    total, longest = entry.agg(F.count_distinct("target"), F.max(F.length("target"))).first()
+    longest = (longest or 0) + MOST_LETTERS + 2  # a plural ending has two letters at most
     texts = folded.select("text").where((F.col("text") != "") & (F.length(squeeze(F.col("text"))) <= longest)).distinct()
     asked = texts.select("text", F.explode(readings(F.col("text"))).alias("reading"))
-    vocabulary = names.select(F.explode(words(F.col("name"))).alias("word")).distinct().where("length(word) >= 4")
-
-    # abbreviations: each unknown short word once
-    tokens = asked.select(F.explode(words(F.col("reading"))).alias("token")).distinct().where("length(token) BETWEEN 2 AND 8")
-    unknown = tokens.join(vocabulary.withColumnRenamed("word", "token"), "token", "left_anti").withColumn("stem", F.regexp_replace("token", "(?<=...)s$", ""))
-    pairs = unknown.join(vocabulary, F.substring("stem", 1, 1) == F.substring("word", 1, 1)).where(F.length("word") * 2 >= F.length("stem") * 3)
-    shortened = pairs.where(F.rlike("word", F.array_join(F.split("stem", ""), ".*")))
-    options = shortened.groupBy("token").agg(F.array_sort(F.collect_set("word")).alias("options"))
-
-    spelled = asked.select("text", "reading", F.posexplode(words(F.col("reading"))).alias("i", "token")).join(options, "token", "left")
-    slots = spelled.groupBy("text", "reading").agg(
-        F.array_sort(F.collect_list(F.struct("i", F.array_union(F.array("token"), F.coalesce("options", F.array().cast("array<string>"))).alias("ways")))).alias("slots"),
-        F.max(F.col("options").isNotNull()).alias("short"),
-    )
-    written = slots.select(
-        "text",
-        "reading",
-        F.when(
-            F.col("short") & (F.size("slots") <= most),
-            F.aggregate(
-                "slots",
-                F.array(F.lit("")),
-                lambda acc, s: F.flatten(F.transform(acc, lambda a: F.transform(s["ways"], lambda w: F.concat(a, w)))),
-            ),
-        ).otherwise(F.array(squeeze(F.col("reading")))).alias("forms"),
-    )
+    plain = asked.select("text", squeeze(F.col("reading")).alias("form"), F.lit(1.0).alias("factor"))
+    forms = plain.unionByName(_written_out(asked, names).withColumn("factor", F.lit(written_out)))
     # few bytes that turn into much work: kept once and spread over all cores, whatever their size
     spark = values.sparkSession
     spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    forms = written.select("text", F.explode("forms").alias("form")).where("form <> ''").distinct()
-    forms = cut_lineage(forms)
-
-    # the index: n-grams of each name, weighted by how few names hold them
-    entry = names.select("node_id", squeeze(F.col("name")).alias("target")).where("target <> ''").distinct()
-    postings = entry.select("node_id", "target", F.explode(grams(F.col("target"))).alias("gram"))
-    total = F.lit(entry.count())
-    weights = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).select(
-        "gram", F.pow(F.log((total + 1) / F.col("df")) + 0.2, 2).alias("w2")
+    forms = cut_lineage(forms.where("form <> ''").groupBy("text", "form").agg(F.max("factor").alias("factor")))
+
+    counts = entry.select("target").distinct().select(F.explode(grams(F.col("target"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    size = F.when(F.col("gram").contains("#"), 1).otherwise(F.length("gram"))
+    factor = F.element_at(F.create_map(*[F.lit(x) for kv in FACTORS.items() for x in kv]), size)
+    # a gram that no name holds weighs as one held once; single letters, which all names share, keep a floor
+    weight = factor * (F.log(F.lit(total + 1) / F.coalesce("df", F.lit(1))) + 0.2 + F.when(size == 1, 1.0).otherwise(0.0))
+
+    def vectors(of: DataFrame, name: str) -> DataFrame:
+        """``<name>, norm, ids, weights, rarest``: the weighted grams of each distinct text."""
+        weighed = of.select(name).distinct().repartition(spread, name).select(name, F.explode(grams(F.col(name))).alias("gram")).join(counts, "gram", "left")
+        weighed = weighed.select(name, F.xxhash64("gram").alias("id"), weight.alias("w"), F.when(size == 2, F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("two"))
+        return weighed.groupBy(name).agg(
+            F.sum("w").alias("norm"), F.collect_list("id").alias("ids"), F.map_from_entries(F.collect_list(F.struct("id", "w"))).alias("weights"),
+            F.transform(F.slice(F.array_sort(F.collect_list("two")), 1, RAREST), lambda g: g["gram"]).alias("rarest"),
+        )
+
+    index = vectors(entry.select(F.explode(_plurals(F.col("target"))).alias("variant")), "variant").withColumnsRenamed({"norm": "v_norm", "ids": "v_ids", "weights": "v_weights"})
+    asks = vectors(forms, "form").drop("weights")
+    reached = asks.select("form", F.explode("rarest").alias("gram")).join(index.select("variant", F.explode("rarest").alias("gram")), "gram").select("form", "variant").distinct()
+    scored = reached.join(asks, "form").join(index, "variant")
+    common = F.array_intersect("ids", "v_ids")
+    dot = F.aggregate(common, F.lit(0.0), lambda acc, g: acc + F.element_at("v_weights", g))
+    scored = scored.select("form", "variant", (dot / F.sqrt(F.col("norm") * F.col("v_norm"))).alias("cosine"))
+    owners = entry.select("node_id", "target", F.explode(_plurals(F.col("target"))).alias("variant"))
+    per_entry = scored.join(owners, "variant").groupBy("form", "node_id").agg(F.max(F.struct("cosine", "target")).alias("best"))
+    per_text = forms.join(per_entry, "form").groupBy("text", "node_id").agg(
+        F.max(F.struct((F.col("best.cosine") * F.col("factor")).alias("score"), F.col("best.target").alias("target"), "form")).alias("best")
     )
-    index = postings.join(weights, "gram")
-    norms = index.groupBy("target").agg(F.sum("w2").alias("target_norm")).distinct()
-    index = cut_lineage(index.join(norms, "target"))
-    weights = index.select("gram", "w2").distinct()
-
-    form_grams = forms.select("form").distinct().repartition(spread).select("form", F.explode(grams(F.col("form"))).alias("gram"))
-    # grams that no name holds still lengthen the value's vector: they weigh as a gram held once
-    known = form_grams.join(weights, "gram", "left")
-    form_norms = known.groupBy("form").agg(F.sum(F.coalesce("w2", F.pow(F.log(total + 1) + 0.2, 2))).alias("form_norm"))
-    hits = form_grams.join(index, "gram").groupBy("form", "node_id", "target").agg(F.sum("w2").alias("dot"), F.first("target_norm").alias("target_norm"))
-    scored = hits.join(form_norms, "form").select(
-        "form", "node_id", "target", (F.col("dot") / F.sqrt(F.col("target_norm") * F.col("form_norm"))).alias("score")
-    ).where(F.col("score") >= floor)
-    letters = F.array_min(F.transform(_plurals(F.col("target")), lambda p: F.levenshtein(p, F.col("form"))))
-    allowed = F.when(F.length("target") <= 4, 0).when(F.length("target") <= 8, 1).otherwise(2)
-    # tied to the score, or the filter would move before the grouping and count letters once per shared gram
-    checked = scored.withColumn("letters", F.when(F.col("score") >= floor, letters)).where(F.col("letters") <= allowed)
-
-    per_text = forms.join(checked, "form").groupBy("text", "node_id").agg(F.max("score").alias("score"), F.min("letters").alias("letters"))
-    ranked = per_text.groupBy("text").agg(F.sort_array(F.collect_list(F.struct(F.negative("letters").alias("closeness"), "score", F.negative("node_id").alias("k"))), asc=False).alias("best"))
+    # at most one row per entry of the reference
+    ranked = per_text.groupBy("text").agg(F.sort_array(F.collect_list(F.struct(F.col("best.score").alias("score"), "node_id", F.col("best.target").alias("target"), F.col("best.form").alias("form"))), asc=False).alias("best"))
     first, second = F.get("best", F.lit(0)), F.get("best", F.lit(1))
-    clear = second.isNull() | (first["closeness"] > second["closeness"]) | (first["score"] - second["score"] >= margin)
-    won = ranked.where((first["score"] >= threshold) & clear).select("text", F.negative(first["k"]).alias("node_id"), F.round(first["score"], 6).alias("score"))
+    decided = ranked.select("text", first.alias("a"), second.alias("b")).where(F.col("a.score") >= threshold)
+    letters, other = _letters(F.col("a.form"), F.col("a.target")), _letters(F.col("b.form"), F.col("b.target"))
+    clear = F.col("b").isNull() | (F.col("a.score") - F.col("b.score") >= margin) | ((letters == 0) & (other > 0))
+    allowed = F.when(F.length("a.target") <= SHORT, 0).when(F.length("a.target") <= MIDDLE, 1).otherwise(MOST_LETTERS)
+    won = decided.where(clear & (letters <= allowed)).select("text", F.col("a.node_id").alias("node_id"), F.round("a.score", 6).alias("score"))
     return folded.join(won, "text", "left").select("value", F.coalesce("node_id", F.lit(0)).alias("node_id"), "score", F.col("text").alias("folded"))
 
 

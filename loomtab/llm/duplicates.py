@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtab.functions.fold import letters_and_digits
+from loomtab.llm.fold import letters_and_digits
 from loomtab.session import cut_lineage
 
 _SEP = "\u0001"
@@ -29,13 +30,13 @@ def canonical_records(rows: DataFrame, fields: Sequence[str], group: Sequence[st
     Values are the parts of all ``fields`` together, as a set: order, field and
     repeats within a row don't matter. A value is its letters (with accents)
     and digits in lower case; values without any are none. Rows without values
-    are no records. ``group`` columns are compared as they are; NULL is a group.
+    are no records, nor are rows without an id. ``group`` columns are compared as they are; NULL is a group.
     """
     parts = F.flatten(F.array(*[F.split(F.coalesce(F.col(f), F.lit("")), part) for f in fields]))
     values = F.array_sort(F.array_distinct(F.filter(F.transform(parts, letters_and_digits), lambda v: v != "")))
     where = [F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("")) for g in group]
     keyed = rows.select(F.col(id_).alias("row_id"), F.array(*where).cast("array<string>").alias("g"), values.alias("values"))
-    return keyed.where(F.size("values") > 0).select("row_id", F.array_join(F.concat("g", "values"), _SEP).alias("record"))
+    return keyed.where((F.size("values") > 0) & F.col("row_id").isNotNull()).select("row_id", F.array_join(F.concat("g", "values"), _SEP).alias("record"))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,14 +44,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     pid = TaskContext.get().partitionId()
-    open_key, open_first, open_n, first_run = None, None, 0, True
+    open_key, open_first, open_n, in_head = None, 0, 0, True
 
-    def out(kind, rows, firsts, ns, head, tail, keys):
+    def out(kind: int, ids, firsts, ns, head, tail, keys) -> pa.RecordBatch:
         k = len(firsts)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([kind] * k, pa.int8()), pa.array([pid] * k, pa.int32()), rows, pa.array(firsts, pa.int64()),
-                pa.array(ns, pa.int64()), pa.array(head, pa.bool_()), pa.array(tail, pa.bool_()), pa.array(keys, pa.string()),
+                pa.array(np.full(k, kind, np.int8)), pa.array(np.full(k, pid, np.int32)), ids if ids is not None else pa.nulls(k, pa.int64()), pa.array(firsts, pa.int64()),
+                pa.array(ns, pa.int64()) if ns is not None else pa.nulls(k, pa.int64()), pa.array(head, pa.bool_()), pa.array(tail, pa.bool_()), keys if keys is not None else pa.nulls(k, pa.string()),
             ],
             schema=_SCHEMA,
         )
@@ -59,28 +60,34 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = batch.num_rows
         if not n:
             continue
-        keys, ids = batch.column("record").cast(pa.string()), batch.column("row_id")
-        change = [True] * 1 if open_key is None else [keys[0].as_py() != open_key]
+        keys, ids = batch.column("record").cast(pa.string()), batch.column("row_id").to_numpy(zero_copy_only=False)
+        new = np.ones(n, bool)
+        new[0] = open_key is None or keys[0].as_py() != open_key
         if n > 1:
-            change += pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_pylist()
-        id_list = ids.to_pylist()
-        firsts, heads, runs = [], [], []
-        for i, new in enumerate(change):
-            if new:
-                if open_key is not None:
-                    runs.append((open_first, open_n, first_run, False, open_key if first_run else None))
-                    first_run = False
-                open_key, open_first, open_n = keys[i].as_py(), id_list[i], 0
-            open_n += 1
-            firsts.append(open_first)
-            heads.append(first_run)
-        keep = [i for i in range(n) if heads[i] or firsts[i] != id_list[i]]
-        if keep:
-            yield out(ROW, pa.array([id_list[i] for i in keep], pa.int64()), [firsts[i] for i in keep], [None] * len(keep), [heads[i] for i in keep], [False] * len(keep), [None] * len(keep))
-        if runs:
-            yield out(RUN, pa.nulls(len(runs), pa.int64()), *map(list, zip(*runs)))
+            new[1:] = pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(new)
+        # the run of each row: 0 is the one left open by the batch before
+        run = np.cumsum(new)
+        firsts = np.concatenate(([open_first], ids[starts]))[run]
+        heads = (run == 0) & in_head if open_key is not None else (run == 1)
+        keep = np.flatnonzero(heads | (firsts != ids))
+        if len(keep):
+            yield out(ROW, pa.array(ids[keep]), firsts[keep], None, heads[keep], np.zeros(len(keep), bool), None)
+        # runs that end here: the open one if a new one starts, and all that start here but the last
+        sizes = np.bincount(run, minlength=len(starts) + 1)
+        sizes[0] += open_n
+        first_of = np.concatenate(([open_first], ids[starts]))
+        done = np.arange(0 if open_key is not None else 1, len(starts))
+        if len(done):
+            head = (done == done[0]) & in_head
+            ended = [(open_key if i == 0 else keys[int(starts[i - 1])].as_py()) if h else None for i, h in zip(done[:1], head[:1])]
+            yield out(RUN, None, first_of[done], sizes[done], head, np.zeros(len(done), bool), pa.array(ended + [None] * (len(done) - 1), pa.string()))
+            in_head = False
+        if len(starts):
+            open_key, open_first = keys[int(starts[-1])].as_py(), int(ids[starts[-1]])
+        open_n = int(sizes[-1])
     if open_key is not None:
-        yield out(RUN, pa.nulls(1, pa.int64()), [open_first], [open_n], [first_run], [True], [open_key])
+        yield out(RUN, None, [open_first], [open_n], [in_head], [True], pa.array([open_key], pa.string()))
 
 
 class DuplicateRuns:

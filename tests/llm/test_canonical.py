@@ -42,3 +42,13 @@ def test_any_number_of_decorations(spark):
         "Naval craft" + " [9]" * 3_000: 2, "[1]" * 30_000 + "x": 0, "SMG [1][2][3][4] x": 0,
     }
     assert mapped(spark, cases) == cases
+
+
+def test_cosine_rejects_words_that_are_only_near_in_letters(spark):
+    assert mapped(spark, ["Combat pay", "combat UAV", "combat uav's"]) == {"Combat pay": 0, "combat UAV": 6, "combat uav's": 6}
+
+
+def test_many_abbreviations_make_no_product(spark):
+    longs = [(100 + i, f"{a} {b} station system", None) for i, (a, b) in enumerate((f"m{x}r{y}tion", f"s{y}r{x}ling") for x in "aeiou" for y in "aeiou")]
+    got = mapped(spark, ["mr st mt st sr ms", "maration sarling stn sys"], [*NODES, *longs])
+    assert got["maration sarling stn sys"] == 100

@@ -23,7 +23,7 @@ def test_writing_does_not_count(spark):
     rows = [
         (1, "t", "HM 918; Torkisis", "Mk 5"), (2, "t", "torkisis;hm-918", "MK 5!"), (3, "t", "Mk 5", "“HM​918”; Torkisis;;"),
         (4, "u", "HM 918; Torkisis", "Mk 5"), (5, "t", "HM 918; Torkisis", None), (6, "t", "Dreporé", None), (7, "t", "Drepore", ""),
-        (8, "t", "DREPORÉ", "—"), (9, "t", "—", None), (10, "t", None, None), (11, None, "a", None), (12, None, "A", None), (13, "", "a", None),
+        (8, "t", "DREPORÉ", "—"), (9, "t", "—", None), (10, "t", None, None), (11, None, "a", None), (12, None, "A", None), (13, "", "a", None), (None, "t", "Dreporé", None),
     ]
     r = runs(spark, rows)
     assert sorted(map(tuple, r.copies().collect())) == [(1, 2), (1, 3), (6, 8), (11, 12)]
