@@ -64,6 +64,8 @@ FACTORS = {1: 6.0, 2: 1.0, 3: 0.5}
 #: Letters that may differ in the exact check, by the length of the name: none up to the first bound, one up to the second, two beyond (fixed values).
 SHORT, MIDDLE = 4, 8
 MOST_LETTERS = 2
+#: Names of a reference list that is sent to all executors: five index rows each, of a few kilobytes.
+MOST_BROADCAST = 5_000
 #: Words of the reference from this length on abbreviate nothing (fixed value); shorter ones may, as in ``sub``.
 WHOLE = 4
 #: An edit spoils at most two 2-grams of a text, so texts that differ by MOST_LETTERS share one of this many rarest ones.
@@ -176,7 +178,7 @@ def map_to_reference(
 
     def vectors(of: DataFrame, name: str) -> DataFrame:
         """``<name>, norm, ids, weights, rarest``: the weighted grams of each distinct text."""
-        weighed = of.select(name).distinct().repartition(spread, name).select(name, F.explode(grams(F.col(name))).alias("gram")).join(counts, "gram", "left")
+        weighed = of.select(name).distinct().repartition(spread).select(name, F.explode(grams(F.col(name))).alias("gram")).join(counts, "gram", "left")
         weighed = weighed.select(name, F.xxhash64("gram").alias("id"), weight.alias("w"), F.when(size == 2, F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("two"))
         return weighed.groupBy(name).agg(
             F.sum("w").alias("norm"), F.collect_list("id").alias("ids"), F.map_from_entries(F.collect_list(F.struct("id", "w"))).alias("weights"),
@@ -185,8 +187,11 @@ def map_to_reference(
 
     index = vectors(entry.select(F.explode(_plurals(F.col("target"))).alias("variant")), "variant").withColumnsRenamed({"norm": "v_norm", "ids": "v_ids", "weights": "v_weights"})
     asks = vectors(forms, "form").drop("weights")
-    reached = asks.select("form", F.explode("rarest").alias("gram")).join(index.select("variant", F.explode("rarest").alias("gram")), "gram").select("form", "variant").distinct()
-    scored = reached.join(asks, "form").join(index, "variant")
+    # a pair is met by its first common rare gram only, so it comes up once
+    asked_for = asks.repartition(spread).select("form", "norm", "ids", "rarest", F.explode("rarest").alias("gram"))
+    offered = index.select("variant", "v_norm", "v_ids", "v_weights", F.col("rarest").alias("v_rarest"), F.explode("rarest").alias("gram"))
+    # a list of a checked size goes to where the values are; a longer one is joined as Spark sees fit
+    scored = asked_for.join(F.broadcast(offered) if total <= MOST_BROADCAST else offered, "gram").where(F.get(F.array_intersect("rarest", "v_rarest"), F.lit(0)) == F.col("gram"))
     common = F.array_intersect("ids", "v_ids")
     dot = F.aggregate(common, F.lit(0.0), lambda acc, g: acc + F.element_at("v_weights", g))
     scored = scored.select("form", "variant", (dot / F.sqrt(F.col("norm") * F.col("v_norm"))).alias("cosine"))
