@@ -9,18 +9,23 @@ from pyspark.sql import functions as F
 from loomtab.llm.tokens import VOCABULARY, count_tokens
 from loomtab.session import cut_lineage
 
-_UNIT = float(1 << 53)
+#: Hexadecimal signs of the hash that make a draw, and how many values they have.
+_SIGNS, _UNIT = 13, float(1 << 52)
 
 
 class Mix:
     """Documents of several sources combined to the shares of each mix.
 
-    ``targets`` has ``mix_name, source, target_share, max_repeats``. A mix is as
-    large as its caps allow: with tokens ``n`` of a source, its rate is
-    ``share * total / n``, and ``total`` is the largest size at which no rate
-    passes its ``max_repeats``. Each document comes out ``floor(rate)`` times
-    and once more with probability ``rate - floor(rate)``, decided by a hash of
-    ``seed``, mix and document, so a rerun gives the same copies.
+    ``targets`` has ``mix_name, source, target_share, max_repeats``. With tokens
+    ``n`` of a source, its rate is ``share * total / n``, at most its
+    ``max_repeats``. ``total`` is ``size``, the tokens wanted of each mix; then
+    a source too small for its share gives what its cap allows, the others keep
+    their amounts, and the report shows the shares reached. Without ``size`` a
+    mix is as large as it can be with every share exact: the largest total at
+    which no rate passes its cap, so the scarcest source decides it. Each
+    document comes out ``floor(rate)`` times and once more with probability
+    ``rate - floor(rate)``, decided by a hash (MD5) of ``seed``, mix and
+    document, so a rerun gives the same copies.
 
     A listed source without tokens can't have its share: the other shares are
     scaled to sum to 1 and the report shows it with 0. Documents of unlisted or
@@ -30,10 +35,21 @@ class Mix:
     each time. Empty inputs give empty results.
     """
 
-    def __init__(self, docs: DataFrame, targets: DataFrame, seed: int = 17, path: str = VOCABULARY) -> None:
-        #: doc_id, source, n_tokens: narrow, tokenised once, kept for both results.
-        self.sized = cut_lineage(count_tokens(docs, ("source",), path).where("source IS NOT NULL AND n_tokens > 0"))
-        self.seed = seed
+    def __init__(self, docs: DataFrame, targets: DataFrame, seed: int = 17, path: str = VOCABULARY, size: float | None = None) -> None:
+        # narrow, tokenised once, kept for both results
+        self._set(cut_lineage(count_tokens(docs, ("source",), path).where(self._USED)), targets, seed, size)
+
+    _USED = "source IS NOT NULL AND n_tokens > 0"
+
+    @classmethod
+    def of_sizes(cls, sized: DataFrame, targets: DataFrame, seed: int = 17, size: float | None = None) -> Mix:
+        """A mix of documents whose sizes are known: ``doc_id, source, n_tokens``, in whatever unit."""
+        mix = cls.__new__(cls)
+        mix._set(sized.select("doc_id", "source", "n_tokens").where(cls._USED), targets, seed, size)
+        return mix
+
+    def _set(self, sized: DataFrame, targets: DataFrame, seed: int, size: float | None) -> None:
+        self.sized, self.seed, self.size = sized, seed, size
         self.rates = self._rates(targets)
 
     def _rates(self, targets: DataFrame) -> DataFrame:
@@ -46,7 +62,7 @@ class Mix:
         mix = W.partitionBy("mix_name")  # rows of the target list, not of the corpus
         share = F.when(F.col("usable"), F.col("target_share") / F.sum(F.when(F.col("usable"), F.col("target_share"))).over(mix))
         scaled = joined.withColumn("share", share)
-        total = F.min(F.when(F.col("usable"), F.col("max_repeats") * F.col("source_tokens") / F.col("share"))).over(mix)
+        total = F.min(F.when(F.col("usable"), F.col("max_repeats") * F.col("source_tokens") / F.col("share"))).over(mix) if self.size is None else F.lit(float(self.size))
         return scaled.withColumn("total", total).select(
             "mix_name", "source", "target_share", "share", "max_repeats", "source_tokens", "source_docs", "total",
             F.when(F.col("usable"), F.least(F.col("share") * F.col("total") / F.col("source_tokens"), F.col("max_repeats").cast("double"))).alias("rate"),
@@ -55,7 +71,8 @@ class Mix:
     def _counted(self) -> DataFrame:
         rates = self.rates.where("rate IS NOT NULL").select("mix_name", "source", "rate", "max_repeats")
         drawn = self.sized.join(rates, "source")
-        u = F.xxhash64(F.lit(self.seed), "mix_name", "doc_id").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(_UNIT)
+        drawn_by = F.md5(F.concat_ws("\u0001", F.lit(str(self.seed)), "mix_name", F.col("doc_id").cast("string")).cast("binary"))
+        u = F.conv(F.substring(drawn_by, 1, _SIGNS), 16, 10).cast("bigint") / F.lit(_UNIT)
         whole = F.floor("rate")
         copies = F.least(whole + F.when(u < F.col("rate") - whole, 1).otherwise(0), F.col("max_repeats").cast("bigint"))
         return drawn.select("mix_name", "source", "doc_id", "n_tokens", copies.alias("copies")).where("copies > 0")

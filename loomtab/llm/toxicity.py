@@ -1,15 +1,19 @@
 """Abusive, hateful or sexual language: a classifier chain over sentences.
 
 Texts are split into sentences, disguises are undone, and each sentence is a
-bag of hashed word n-grams in which listed words stand for their class. The
-chain predicts categories one after the other; each linear model sees the
-probabilities of the earlier ones, which in training come from folds that the
-example was not in. A document's score is that of its worst sentence.
+bag of hashed word n-grams; listed words also stand for their class, as one
+feature among the others. The chain predicts categories one after the other;
+each linear model sees the probabilities of the earlier ones, which in training
+come from folds that the example was not in. What a category is comes from the
+reviewed sentences: a mixture over their words, in which only the authored
+sentences of :mod:`seeds` have a fixed category. A document's score is that of
+its worst sentence.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import unicodedata
 import zlib
@@ -21,16 +25,18 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomtab.llm import seeds
+from loomtab.session import cut_lineage
 
 #: The chain's links in order; the last one is the verdict itself.
 CATEGORIES = ("sexual", "threat", "demeaning", "insult")
 LINKS = (*CATEGORIES, "unfit")
 
-#: Cue words by category in English, German, French and Spanish (fixed values, without accents; plurals are cut by rule).
+#: Cue words, a feature of the model and no target of it, in English, German, French and Spanish (fixed values, without accents; plurals are cut by rule).
 CUES = {
     "sexual": "sex sexy horny nude naked tits boobs busty dildo anal blowjob cum cock dick pussy porn orgasm moaned moaning moan fuck fucking "
     "masturbate erotic swallow thighs strip stripped nackt geil ficken titten bumsen nue baiser cul salope bite nichons "
@@ -127,11 +133,17 @@ def _cased(texts: Iterable[str]) -> dict[str, list[int]]:
     for t in texts:
         for head, tail in inner.findall(unicodedata.normalize("NFKC", t)):
             if tail.islower():
-                plain = unicodedata.normalize("NFKD", head + tail).lower()
-                seen[_single("".join(c for c in plain if not unicodedata.combining(c)))][head.isupper()] += 1
+                seen[_bare(head.lower() + tail)][head.isupper()] += 1
     return seen
 
 
+@lru_cache(1 << 17)
+def _bare(word: str) -> str:
+    if not word.isascii():
+        word = "".join(c for c in unicodedata.normalize("NFKD", word).lower() if not unicodedata.combining(c))
+    return _single(word)
+
+
 @lru_cache(1 << 17)
 def _word(t: str) -> tuple[str, ...]:
     """What one token stands for: a class and its stem, a person, a number, a code, or a plain word."""
@@ -266,25 +278,119 @@ class Chain:
         self.__init__(**state)
 
 
+def learn_categories(sigs: list[tuple[str, ...]], weight: np.ndarray, named: dict[int, int], rounds: int = 8) -> np.ndarray:
+    """The probability of each of :data:`CATEGORIES` for each sentence: a mixture of word distributions.
+
+    ``weight`` says how far a sentence is unfit; ``named`` fixes the category of
+    the authored ones. Each round (fixed in number) counts words by category and
+    reads the sentences' categories from the counts. Only plain words count and
+    the words for persons, no class of the cue words. A sentence without known
+    words has all categories alike.
+    """
+    place: dict[str, int] = {}
+    rows, cols = [], []
+    for i, sig in enumerate(sigs):
+        if weight[i] > 0 or i in named:
+            for t in {t for t in sig if t[0] != "<" or t in ("<you>", "<me>")}:
+                rows.append(i)
+                cols.append(place.setdefault(t, len(place)))
+    r, c, k, n = np.array(rows, np.int64), np.array(cols, np.int64), len(CATEGORIES), len(sigs)
+    p = np.full((n, k), 1.0 / k)
+    fixed = np.array(sorted(named), np.int64)
+    kinds = np.array([named[i] for i in sorted(named)], np.int64)
+    mass = np.maximum(weight, 0.0)
+    mass[fixed] = np.maximum(mass[fixed], 1.0)
+    for at in range(rounds + 1):
+        p[fixed] = 0.0
+        p[fixed, kinds] = 1.0
+        held = mass if at else np.where(np.isin(np.arange(n), fixed), 1.0, 0.0)
+        words_of = np.column_stack([np.bincount(c, (held[r] * p[r, j]), len(place)) for j in range(k)]) + 0.1
+        logs = np.log(words_of / words_of.sum(axis=0)) + np.log((held @ p + 1.0) / (held.sum() + k)) / max(len(place), 1)
+        z = np.column_stack([np.bincount(r, logs[c, j], n) for j in range(k)])
+        z -= z.max(axis=1, keepdims=True)
+        p = np.exp(z)
+        p /= p.sum(axis=1, keepdims=True)
+    p[fixed] = 0.0
+    p[fixed, kinds] = 1.0
+    return p
+
+
+class Here:
+    """Fits one after the other in this process."""
+
+    def __init__(self, xs: list[np.ndarray]) -> None:
+        self.xs = xs
+
+    def fit(self, asked: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray, earlier: np.ndarray) -> list[tuple[Linear, np.ndarray]]:
+        """For each (rows to learn from, rows held out): the model, and the scores of those held out."""
+        return [self.one(train, held, y, weight, earlier) for train, held in asked]
+
+    def one(self, train, held, y, weight, earlier) -> tuple[Linear, np.ndarray]:
+        model = Examples([self.xs[i] for i in train]).fit(y[train], weight[train], earlier[train])
+        return model, Examples([self.xs[i] for i in held]).scores(model, earlier[held])
+
+
+class OnCluster(Here):
+    """The folds and the whole of a link as tasks of one stage; the examples, a bounded sample, go out once."""
+
+    def __init__(self, xs: list[np.ndarray], spark: SparkSession) -> None:
+        super().__init__(xs)
+        self.sc = spark.sparkContext
+        self.held = self.sc.broadcast(xs)
+
+    def fit(self, asked, y, weight, earlier):
+        xs, sent = self.held, self.sc.broadcast((asked, y, weight, earlier))
+
+        def run(i: int):
+            (train, held), y, weight, earlier = sent.value[0][i], *sent.value[1:]
+            model, scores = Here(xs.value).one(train, held, y, weight, earlier)
+            used = np.flatnonzero(model.weights)
+            return used.astype(np.int32), model.weights[used], model.chained, model.bias, scores
+
+        out = []
+        for used, values, chained, bias, scores in self.sc.parallelize(range(len(asked)), len(asked)).map(run).collect():
+            full = np.zeros(1 << HASH_BITS, np.float32)
+            full[used] = values
+            out.append((Linear(full, chained, bias), scores))
+        sent.destroy()
+        return out
+
+
+def prepare(text: str) -> tuple[list[list[str]], dict[str, list[int]]]:
+    """What the fit needs of one text: its tokenised sentences and how its words are cased."""
+    return segments(text), dict(_cased([text]))
+
+
 def train_chain(labelled: Iterable[tuple[str, float]], folds: int = 3, least_docs: int = 2, unfit_weight: float = 4.0) -> Chain:
-    """Fit the chain on (text, share of reviewers who found it unfit).
+    """Fit the chain in this process on (text, share of reviewers who found it unfit); see :func:`train_prepared`."""
+    return train_prepared([(prepare(t), y) for t, y in labelled if t and t.strip()], Here, folds, least_docs, unfit_weight)
+
+
+def train_prepared(labelled: Iterable[tuple[tuple, float]], fitter, folds: int = 3, least_docs: int = 2, unfit_weight: float = 4.0) -> Chain:
+    """Fit the chain on (prepared text, share of reviewers who found it unfit).
 
     Reviewers judge whole texts, so sentences start with their text's label;
     out-of-fold scores then pick the sentences that explain an unfit text, and
-    the others of it count as fit. Categories of those sentences come from the
-    cue words. Half-and-half verdicts are left out. The vocabulary holds the
-    words of at least ``least_docs`` texts that aren't mostly written as names.
+    the others of it count as fit. The picked sentences' categories come from
+    :func:`learn_categories`. Half-and-half verdicts are left out. The
+    vocabulary holds the words of at least ``least_docs`` texts that aren't
+    mostly written as names.
     """
-    docs = [(t, y) for t, y in labelled if t and t.strip() and y != 0.5]
+    docs = [(p, y) for p, y in labelled if y != 0.5]
     # the authored sentences count as texts of one sentence each, twice, so that their words are known
-    docs += [(t, 1.0) for t in seeds.UNFIT for _ in range(2)] + [(t, 0.0) for t in seeds.FIT for _ in range(2)]
+    authored = [(t, c) for c, ts in seeds.UNFIT.items() for t in ts]
+    first = len(docs)
+    docs += [(prepare(t), 1.0) for t, _ in authored] + [(prepare(t), 1.0) for t, _ in authored] + [(prepare(t), 0.0) for t in seeds.FIT for _ in range(2)]
     # and sentences of unknown words are fit unless something says otherwise
-    docs += [(" ".join(f"zq{chr(97 + i)}{chr(97 + k)}v" for k in range(n)) + ".", 0.0) for i in range(8) for n in (1, 5, 12)]
-    tokenised = [(segments(t), float(y > 0.5)) for t, y in docs]
+    docs += [(prepare(" ".join(f"zq{chr(97 + i)}{chr(97 + k)}v" for k in range(n)) + "."), 0.0) for i in range(8) for n in (1, 5, 12)]
+    tokenised = [(ss, float(y > 0.5)) for (ss, _), y in docs]
     df: Counter[str] = Counter()
-    for ss, _ in tokenised:
+    cased: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    for (ss, seen), _ in docs:
         df.update({w for ws in ss for w in ws})
-    cased = _cased(t for t, _ in docs)
+        for w, (small, capital) in seen.items():
+            cased[w][0] += small
+            cased[w][1] += capital
     vocabulary = frozenset(w for w, n in df.items() if n >= least_docs and cased[w][1] <= 3 * cased[w][0])
     # one example per (signature, fold): the fold is the text's
     index: dict[tuple[tuple[str, ...], int], int] = {}
@@ -294,9 +400,11 @@ def train_chain(labelled: Iterable[tuple[str, float]], folds: int = 3, least_doc
         members.append([index.setdefault((signature(ws, vocabulary), fold), len(index)) for ws in ss])
     sigs = [s for s, _ in index]
     fold_of = np.array([f for _, f in index])
-    xs = [features(s) for s in sigs]
-    every = Examples(xs)
+    fitted = fitter([features(s) for s in sigs])
     n = len(sigs)
+    everything, nothing = np.arange(n), np.zeros(0, np.int64)
+    parts = [(np.flatnonzero(fold_of != f), np.flatnonzero(fold_of == f)) for f in range(folds)]
+    parts = [(rest, held) for rest, held in parts if len(rest) and len(held)]
 
     def tally(chosen: list[set[int]] | None) -> tuple[np.ndarray, np.ndarray]:
         pos, all_ = np.zeros(n), np.zeros(n)
@@ -307,52 +415,72 @@ def train_chain(labelled: Iterable[tuple[str, float]], folds: int = 3, least_doc
         share = pos / np.maximum(all_, 1)
         return share, np.sqrt(all_) * (1 + (unfit_weight - 1) * share)
 
-    def out_of_fold(y: np.ndarray, weight: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    def out_of_fold(results: list[tuple[Linear, np.ndarray]]) -> np.ndarray:
         scores = np.zeros(n)
-        for f in range(folds):
-            rest, held = np.flatnonzero(fold_of != f), np.flatnonzero(fold_of == f)
-            if len(rest) and len(held):
-                model = Examples([xs[i] for i in rest]).fit(y[rest], weight[rest], earlier[rest])
-                scores[held] = Examples([xs[i] for i in held]).scores(model, earlier[held])
+        for (_, held), (_, p) in zip(parts, results):
+            scores[held] = p
         return scores
 
     none = np.zeros((n, 0))
     y, weight = tally(None)
     for floor in (0.6, 0.6):
-        p = out_of_fold(y, weight, none)
+        p = out_of_fold(fitted.fit(parts, y, weight, none))
         chosen = []
         for ids, (_, label) in zip(members, tokenised):
             top = max((p[i] for i in ids), default=0.0)
             chosen.append({i for i in ids if p[i] >= 0.5 or (p[i] == top and top >= floor)} if label else set())
         y, weight = tally(chosen)
 
-    kinds = [{t[1:-1] for t in s if t[0] == "<"} for s in sigs]
+    named = {i: CATEGORIES.index(c) for d, (_, c) in enumerate(authored) for i in (*members[first + d], *members[first + len(authored) + d])}
+    kinds = learn_categories(sigs, y, named)
     earlier, links = none, []
     for k, link in enumerate(LINKS):
-        target = y if link == "unfit" else y * np.array([float(link in ks) for ks in kinds])
-        links.append(every.fit(target, weight, earlier))
-        if k < len(LINKS) - 1:
-            earlier = np.column_stack((earlier, out_of_fold(target, weight, earlier)))
+        target = y if link == "unfit" else y * kinds[:, k]
+        # the last link has no later one, so it needs no held-out scores
+        whole, *rest = fitted.fit([(everything, nothing), *(parts if k < len(LINKS) - 1 else [])], target, weight, earlier)
+        links.append(whole[0])
+        if rest:
+            earlier = np.column_stack((earlier, out_of_fold(rest)))
     return Chain(vocabulary, links)
 
 
 #: Reviewed documents used for the fit, at most; which ones is decided by a hash of their id. The model needs no more.
 MAX_LABELLED = 20_000
+#: Characters of those documents, at most, taken in the same order; a document with over a hundredth of them is passed over.
+MAX_CHARACTERS = 40_000_000
 #: Score from which a document counts as unfit.
 THRESHOLD = 0.5
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Chain:
-    """The chain of a bounded sample of the reviewed documents, fitted on the driver.
+def fit_on_labels(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_characters: int = MAX_CHARACTERS) -> Chain:
+    """The chain of a bounded sample of the reviewed documents.
 
-    NULL verdicts don't count; several verdicts on a document are averaged.
-    Without verdicts the chain knows the authored sentences of :mod:`seeds` only.
+    The texts are read, parted and tokenised by Spark tasks; folds and links are
+    fitted as tasks too, so the driver only counts. The sample is bounded in
+    rows and in characters. NULL verdicts don't count; several verdicts on a
+    document are averaged. Without verdicts the chain knows the authored
+    sentences of :mod:`seeds` only.
     """
+    spark = docs.sparkSession
     seen = labels.where("is_unfit IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("is_unfit").alias("share"))
     sample = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     # the sample has at most max_labelled rows of two numbers, so the corpus is filtered by it without a shuffle
-    texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    return train_chain([(r["text"], r["share"]) for r in texts.orderBy("doc_id").collect()])
+    texts = docs.where("text IS NOT NULL").select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    found = cut_lineage(texts.where(F.length("text") <= max_characters // 100))
+    # one number for each of at most max_labelled documents
+    sizes = found.groupBy("doc_id").agg(F.sum(F.length("text")).alias("size"))
+    upto = F.sum("size").over(W.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    kept = found.join(F.broadcast(sizes.select("doc_id", upto.alias("upto")).where(F.col("upto") <= max_characters)), "doc_id").select("doc_id", "share", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ready = [pickle.dumps(prepare(t.as_py())) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ready, pa.binary())], ["doc_id", "share", "ready"])
+
+    kind = kept.schema["doc_id"].dataType.simpleString()
+    spread = kept.repartition(spark.sparkContext.defaultParallelism)
+    prepared = spread.mapInArrow(run, f"doc_id {kind}, share double, ready binary").orderBy("doc_id", F.xxhash64("ready")).collect()
+    return train_prepared([(pickle.loads(r["ready"]), r["share"]) for r in prepared], lambda xs: OnCluster(xs, spark))
 
 
 def score_documents(docs: DataFrame, chain: Chain, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -37,6 +37,15 @@ def test_missing_and_unusable_sources(spark):
     assert len(report) == 5
 
 
+def test_a_wanted_size_is_not_cut_by_a_scarce_source(spark):
+    sized = spark.createDataFrame([(i, "big", 10) for i in range(2000)] + [(9000 + i, "tiny", 10) for i in range(5)], "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("m", "big", 0.5, 3), ("m", "tiny", 0.5, 1)], TARGETS)
+    report = {r["source"]: r for r in Mix.of_sizes(sized, targets, size=8000).report().collect()}
+    assert report["tiny"]["mixed_tokens"] == 50 and abs(report["big"]["mixed_tokens"] - 4000) < 500
+    exact = {r["source"]: r for r in Mix.of_sizes(sized, targets).report().collect()}
+    assert exact["tiny"]["mixed_tokens"] == 50 and exact["big"]["rate"] == 50 / 20000
+
+
 def test_empty(spark):
     m = mix(spark, [], [("m", "x", 1.0, 1)])
     assert m.emitted().count() == 0 and m.report().count() == 1
