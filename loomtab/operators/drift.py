@@ -34,12 +34,14 @@ def type_family(name: Column) -> Column:
     return case.otherwise(F.lit(None).cast("string"))
 
 
-def snapshot_columns(columns: DataFrame, mapping: DataFrame, chain: DataFrame, fields: Sequence[str] = MAPPED_FIELDS) -> DataFrame:
-    """``snapshot_id, prev_id, next_id, name, family, field``: the columns of each snapshot.
+def snapshot_schemas(columns: DataFrame, mapping: DataFrame, chain: DataFrame, fields: Sequence[str] = MAPPED_FIELDS) -> DataFrame:
+    """``snapshot_id, table_name, at, prev_id, cols, fingerprint``: the schema of each snapshot as one sorted list of (name, family, field).
 
     Names that differ only in writing are one column. Its type is the first
     known one by delivery; ``field`` is the canonical field it feeds, the first
-    by canonical order if several, else NULL.
+    by canonical order if several, else NULL. The fingerprint is a hash of the
+    list, so snapshots of equal fingerprints have equal schemas; one without
+    columns has that of the empty list.
     """
     told = columns.select("meta_id", column_key(F.col("column_name")).alias("name"), type_family(F.col("value_type")).alias("family"))
     feeds = mapping.select(
@@ -54,33 +56,20 @@ def snapshot_columns(columns: DataFrame, mapping: DataFrame, chain: DataFrame, f
     ).unionByName(
         feeds.select("meta_id", "name", F.lit(None).cast("boolean").alias("stands"), F.lit(None).cast("struct<meta_id:bigint,family:string>").alias("typed"), F.struct("rank", "field").alias("fed"))
     )
-    placed = facts.where("name <> ''").join(chain.select("meta_id", "snapshot_id", "prev_id", "next_id"), "meta_id")
-    found = placed.groupBy("snapshot_id", "name").agg(
-        F.max("stands").alias("stands"), F.min("typed").alias("typed"), F.min("fed").alias("fed"),
-        F.first("prev_id").alias("prev_id"), F.first("next_id").alias("next_id"),
-    )
-    return found.where("stands").select(
-        "snapshot_id", "prev_id", "next_id", "name", F.col("typed.family").alias("family"), F.col("fed.field").alias("field")
-    )
+    # placed once by snapshot: both aggregations below keep that placing
+    placed = facts.where("name <> ''").join(chain.select("meta_id", "snapshot_id"), "meta_id").drop("meta_id").repartition("snapshot_id")
+    found = placed.groupBy("snapshot_id", "name").agg(F.max("stands").alias("stands"), F.min("typed").alias("typed"), F.min("fed").alias("fed")).where("stands")
+    listed = found.groupBy("snapshot_id").agg(F.array_sort(F.collect_list(F.struct("name", F.col("typed.family").alias("family"), F.col("fed.field").alias("field")))).alias("cols"))
+    snaps = chain.select("table_name", "at", "snapshot_id", "prev_id").distinct().join(listed, "snapshot_id", "left")
+    cols = F.coalesce("cols", F.array().cast("array<struct<name:string,family:string,field:string>>"))
+    signs = F.transform(cols, lambda c: F.concat_ws("\u0001", c["name"], F.coalesce(c["family"], F.lit("?")), F.coalesce(c["field"], F.lit(""))))
+    return snaps.select("snapshot_id", "table_name", "at", "prev_id", cols.alias("cols"), F.sha2(F.array_join(signs, "\u0002"), 256).alias("fingerprint"))
 
 
 def schema_versions(columns: DataFrame, mapping: DataFrame, meta: DataFrame) -> DataFrame:
-    """``meta_id, table_name, at, fingerprint, n_columns, is_new_version`` of each snapshot.
-
-    The fingerprint is a hash of the sorted (name, family) list. A snapshot
-    without columns has the fingerprint of the empty list. The first snapshot
-    of a table is a new version.
-    """
-    chain = snapshot_chain(meta)
-    cols = snapshot_columns(columns, mapping, chain)
-    prints = cols.groupBy("snapshot_id").agg(
-        F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws("\u0001", "name", F.coalesce("family", F.lit("?"))))), "\u0002"), 256).alias("p"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    snaps = chain.select("table_name", "at", "snapshot_id", "prev_id").distinct()
-    full = snaps.join(prints, "snapshot_id", "left").select(
-        "snapshot_id", "table_name", "at", "prev_id", F.coalesce("p", F.sha2(F.lit(""), 256)).alias("fingerprint"), F.coalesce("n", F.lit(0)).alias("n_columns")
-    )
+    """``meta_id, table_name, at, fingerprint, n_columns, is_new_version`` of each snapshot; the first of a table is a new version."""
+    full = snapshot_schemas(columns, mapping, snapshot_chain(meta))
+    full = full.select("snapshot_id", "table_name", "at", "prev_id", "fingerprint", F.size("cols").alias("n_columns"))
     before = full.select(F.col("snapshot_id").alias("prev_id"), F.col("fingerprint").alias("before"))
     return full.join(before, "prev_id", "left").select(
         F.col("snapshot_id").alias("meta_id"), "table_name", "at", "fingerprint", "n_columns",
@@ -88,9 +77,48 @@ def schema_versions(columns: DataFrame, mapping: DataFrame, meta: DataFrame) ->
     )
 
 
+def _steps_between(pairs: DataFrame) -> DataFrame:
+    """``old_print, new_print`` and the steps that lead from the schema ``old`` to ``new``, within each row."""
+    names = lambda c: F.transform(c, lambda x: x["name"])
+    same = lambda values, f: F.size(F.filter(values, lambda x: x == f))
+    step = lambda kind, old, new: F.struct(
+        F.lit(kind).alias("change_kind"), F.coalesce(old["name"], F.lit("")).alias("old_name"), F.coalesce(new["name"], F.lit("")).alias("new_name"),
+        old["family"].alias("old_family"), new["family"].alias("new_family"),
+    )
+    none = F.lit(None).cast("struct<name:string,family:string,field:string>")
+    p = pairs.withColumns({"old_names": names("old"), "new_names": names("new")})
+    p = p.withColumns({
+        "gone": F.filter("old", lambda c: ~F.array_contains("new_names", c["name"])), "came": F.filter("new", lambda c: ~F.array_contains("old_names", c["name"])),
+        # both lists are sorted by name, so what stayed stands side by side
+        "stayed": F.zip_with(
+            F.filter("old", lambda c: F.array_contains("new_names", c["name"])), F.filter("new", lambda c: F.array_contains("old_names", c["name"])),
+            lambda a, b: F.struct(a.alias("old"), b.alias("new")),
+        ),
+    })
+    fed = lambda c: F.array_compact(F.transform(c, lambda x: x["field"]))
+    p = p.withColumns({"gone_fields": fed("gone"), "came_fields": fed("came")})
+    p = p.withColumn("fields", F.filter(F.array_intersect("gone_fields", "came_fields"), lambda f: (same("gone_fields", f) == 1) & (same("came_fields", f) == 1)))
+    one = lambda c, f: F.get(F.filter(c, lambda x: x["field"] == f), F.lit(0))
+    p = p.withColumn("renamed", F.transform("fields", lambda f: F.struct(one("gone", f).alias("old"), one("came", f).alias("new"))))
+    left = lambda c: F.filter(c, lambda x: ~F.coalesce(F.array_contains("fields", x["field"]), F.lit(False)))
+    retyped = F.filter(F.concat("stayed", "renamed"), lambda s: s["old"]["family"] != s["new"]["family"])
+    return p.select(
+        "old_print", "new_print",
+        F.concat(
+            F.transform("renamed", lambda s: step("renamed", s["old"], s["new"])), F.transform(left("gone"), lambda c: step("removed", c, none)),
+            F.transform(left("came"), lambda c: step("added", none, c)), F.transform(retyped, lambda s: step("retyped", s["old"], s["new"])),
+        ).alias("steps"),
+    )
+
+
 def migration_steps(columns: DataFrame, mapping: DataFrame, meta: DataFrame) -> DataFrame:
     """``meta_id, change_kind, old_name, new_name, old_family, new_family``: each change between consecutive snapshots.
 
+    Versions are schema fingerprints. Only snapshots whose fingerprint differs
+    from the one before are looked at; the steps are worked out once for each
+    distinct pair of versions, within a row, and go back to all snapshots that
+    took them.
+
     Kinds are ``renamed``, ``removed``, ``added`` and ``retyped``. A rename is
     the only column that left and the only one that came under one canonical
     field; columns that feed no field are never renamed. A column that stayed
@@ -101,56 +129,26 @@ def migration_steps(columns: DataFrame, mapping: DataFrame, meta: DataFrame) ->
     table has no steps, and one without columns removes all. Repeated rows
     count once; empty inputs give an empty result.
     """
-    cols = snapshot_columns(columns, mapping, snapshot_chain(meta))
-    sides = cols.select(
-        "name",
-        F.struct("name", "family", "field").alias("col"),
-        F.inline(
-            F.filter(
-                F.array(
-                    F.struct(F.when(F.col("prev_id").isNotNull(), F.col("snapshot_id")).alias("in_id"), F.lit(True).alias("is_new")),
-                    F.struct(F.col("next_id").alias("in_id"), F.lit(False).alias("is_new")),
-                ),
-                lambda s: s["in_id"].isNotNull(),
-            )
-        ),
-    )
-    pairs = sides.groupBy("in_id", "name").agg(
-        F.max(F.when(~F.col("is_new"), F.col("col"))).alias("old"), F.max(F.when(F.col("is_new"), F.col("col"))).alias("new")
-    )
-    stayed = pairs.where("old IS NOT NULL AND new IS NOT NULL").select("in_id", "old", "new", F.lit("stayed").alias("kind"))
-    moved = pairs.where("old IS NULL OR new IS NULL")
-    # columns that left or came meet by field; those without a field stay alone by their name
-    place = F.coalesce(F.col("old.field"), F.col("new.field"), F.concat(F.lit("\u0001"), F.col("name")))
-    by_field = moved.groupBy("in_id", place.alias("place")).agg(
-        F.count("old").alias("n_left"), F.count("new").alias("n_came"), F.collect_list("old").alias("olds"), F.collect_list("new").alias("news")
-    )
-    empty = F.lit(None).cast("struct<name:string,family:string,field:string>")
-    one = by_field.where("n_left = 1 AND n_came = 1").select(
-        "in_id", F.element_at("olds", 1).alias("old"), F.element_at("news", 1).alias("new"), F.lit("renamed").alias("kind")
-    )
-    rest = by_field.where("NOT (n_left = 1 AND n_came = 1)").select(
-        "in_id",
-        F.inline(
-            F.concat(
-                F.transform("olds", lambda c: F.struct(c.alias("old"), empty.alias("new"), F.lit("removed").alias("kind"))),
-                F.transform("news", lambda c: F.struct(empty.alias("old"), c.alias("new"), F.lit("added").alias("kind"))),
-            )
-        ),
-    )
-    steps = stayed.unionByName(one).unionByName(rest)
-    differ = F.col("old.family") != F.col("new.family")
-    kinds = F.filter(
-        F.array(F.when(F.col("kind") != "stayed", F.col("kind")), F.when(differ, F.lit("retyped"))), lambda k: k.isNotNull()
-    )
-    return steps.select(
-        F.col("in_id").alias("meta_id"),
-        F.explode(kinds).alias("change_kind"),
-        F.coalesce("old.name", F.lit("")).alias("old_name"),
-        F.coalesce("new.name", F.lit("")).alias("new_name"),
-        F.col("old.family").alias("old_family"),
-        F.col("new.family").alias("new_family"),
-    )
+    return _steps_of(cut_lineage(snapshot_schemas(columns, mapping, snapshot_chain(meta))))
+
+
+def _steps_of(schemas: DataFrame) -> DataFrame:
+    before = schemas.select(F.col("snapshot_id").alias("prev_id"), F.col("fingerprint").alias("old_print"))
+    moves = schemas.select("snapshot_id", "prev_id", F.col("fingerprint").alias("new_print")).join(before, "prev_id").where("old_print <> new_print")
+    versions = schemas.groupBy("fingerprint").agg(F.first("cols").alias("cols"))
+    pairs = moves.select("old_print", "new_print").distinct()
+    pairs = pairs.join(versions.select(F.col("fingerprint").alias("old_print"), F.col("cols").alias("old")), "old_print")
+    pairs = pairs.join(versions.select(F.col("fingerprint").alias("new_print"), F.col("cols").alias("new")), "new_print")
+    steps = _steps_between(pairs).where(F.size("steps") > 0)
+    return moves.join(steps, ["old_print", "new_print"]).select(F.col("snapshot_id").alias("meta_id"), F.inline("steps"))
+
+
+def clashing_names(columns: DataFrame, meta: DataFrame) -> DataFrame:
+    """``meta_id, name, raw_names``: columns of one delivery that differ only in writing, and so are one column of several values."""
+    seen = columns.select("meta_id", column_key(F.col("column_name")).alias("name"), F.col("column_name").alias("raw")).where("name <> ''")
+    chain = snapshot_chain(meta).select("meta_id")
+    found = seen.join(chain, "meta_id", "left_semi").groupBy("meta_id", "name").agg(F.array_sort(F.collect_set("raw")).alias("raw_names"))
+    return found.where(F.size("raw_names") > 1)
 
 
 def final_names(steps: DataFrame, chain: DataFrame, rounds: int = 20) -> DataFrame:
@@ -193,24 +191,30 @@ def final_names(steps: DataFrame, chain: DataFrame, rounds: int = 20) -> DataFra
 
 
 def consistent_rows(raw_rows: DataFrame, columns: DataFrame, mapping: DataFrame, meta: DataFrame) -> DataFrame:
-    """``meta_id, table_name, row_idx, column_name, value, family``: all rows under the latest column names.
+    """``meta_id, table_name, row_idx, column_name, value_no, family, value, value_cast``: all rows under the latest column names.
 
     Each cell's column is carried through the later renames of its table. A
     column that a table's snapshot lacks but a later or earlier one has comes
     out with a NULL value (the default), so all snapshots of a table have the
     same columns. ``family`` is the column's newest known type; a value that
-    can't be cast to it stays as text here and is NULL in ``value_cast``.
-    NULL cells stay NULL; rows without cells give only defaults. A removed
-    column and a later one of the same name share it; only where they clash, as
-    a snapshot has both under their names of the time, the removed one comes
-    out under ``name (until time)``, so that no cell is lost.
+    can't be cast to it stays as text in ``value`` and is NULL in ``value_cast``.
+    NULL cells stay NULL; rows without cells give only defaults.
+
+    No cell is lost. A removed column and a later one of the same name share
+    it; only where they clash, as a snapshot has both under their names of the
+    time, the removed one comes out under ``name (until time)``. Cells of one
+    row whose raw names differ only in writing are one column, numbered by
+    ``value_no`` in their order (see :func:`clashing_names`). Cells under names
+    that their snapshot doesn't list come out under those names, without a
+    family.
+
+    The routes of a snapshot are one map and the columns of a table one list,
+    joined to the rows once, so cells are never shuffled.
     """
     chain = snapshot_chain(meta)
-    steps = cut_lineage(migration_steps(columns, mapping, meta))
-    names = final_names(steps, chain)
-    seen = chain.select("meta_id", "table_name", "at", "snapshot_id")
-    cols = snapshot_columns(columns, mapping, chain).select("snapshot_id", "name", "family")
-    known = cols.join(seen.select("snapshot_id", "table_name", "at").distinct(), "snapshot_id")
+    schemas = cut_lineage(snapshot_schemas(columns, mapping, chain))
+    names = final_names(cut_lineage(_steps_of(schemas)), chain)
+    known = schemas.select("snapshot_id", "table_name", "at", F.inline("cols"))
     routed = known.join(names, ["table_name", "name"], "left").groupBy("snapshot_id", "table_name", "at", "name", "family").agg(
         F.min(F.when(F.col("renamed") & (F.col("since") > F.col("at")), F.struct("since", "final_name"))).alias("r"),
         F.min(F.when(F.col("since") > F.col("at"), F.struct("since", "final_name", "until"))).alias("e"),
@@ -224,20 +228,29 @@ def consistent_rows(raw_rows: DataFrame, columns: DataFrame, mapping: DataFrame,
     clashes = F.max("clash").over(W.partitionBy("table_name", "own_name", "until"))
     apart = F.concat("own_name", F.lit(" (until "), F.col("until").cast("string"), F.lit(")"))
     routed = routed.withColumn("clash", clash).withColumn("clashes", clashes)
-    routed = routed.withColumn("final_name", F.when(F.col("clashes") & F.col("until").isNotNull(), apart).otherwise(F.col("final_name")))
+    routed = cut_lineage(routed.withColumn("final_name", F.when(F.col("clashes") & F.col("until").isNotNull(), apart).otherwise(F.col("final_name"))))
     finals = routed.groupBy("table_name", "final_name").agg(F.max_by("family", F.when(F.col("family").isNotNull(), F.col("at"))).alias("family"))
-    cells = raw_rows.select("meta_id", "table_name", "row_idx", F.posexplode_outer("cells").alias("i", "cell"))
-    cells = cells.select("meta_id", "table_name", "row_idx", column_key(F.col("cell.name")).alias("name"), F.col("cell.value").alias("value"))
-    placed = cells.join(seen.select("meta_id", "snapshot_id"), "meta_id")
-    named = placed.join(routed.select("snapshot_id", "name", "final_name"), ["snapshot_id", "name"]).groupBy(
-        "meta_id", "table_name", "row_idx", "final_name"
-    ).agg(F.min("value").alias("value"))
-    every = raw_rows.select("meta_id", "table_name", "row_idx").distinct().join(finals, "table_name")
-    out = every.join(named, ["meta_id", "table_name", "row_idx", "final_name"], "left")
+    finals = finals.groupBy("table_name").agg(F.collect_list(F.struct(F.col("final_name").alias("column_name"), "family")).alias("finals"))
+    routes = routed.groupBy("snapshot_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "final_name"))).alias("routes"))
+    routes = chain.select("meta_id", "snapshot_id").join(routes, "snapshot_id").select("meta_id", "routes")
+    placed = raw_rows.select("meta_id", "table_name", "row_idx", "cells").join(routes, "meta_id", "left").join(finals, "table_name", "left")
+
+    def routed_cell(c: Column) -> Column:
+        key = column_key(c["name"])
+        return F.struct(F.coalesce(F.try_element_at("routes", key), key).alias("column_name"), c["value"].alias("value"))
+
+    cells = F.coalesce(F.transform(F.filter("cells", lambda c: column_key(c["name"]) != ""), routed_cell), F.array().cast("array<struct<column_name:string,value:string>>"))
+    placed = placed.select("meta_id", "table_name", "row_idx", F.coalesce("finals", F.array().cast("array<struct<column_name:string,family:string>>")).alias("finals"), cells.alias("cells"))
+    unlisted = F.array_except(F.transform("cells", lambda c: c["column_name"]), F.transform("finals", lambda f: f["column_name"]))
+    placed = placed.withColumn("finals", F.concat("finals", F.transform(unlisted, lambda n: F.struct(n.alias("column_name"), F.lit(None).cast("string").alias("family")))))
+    told = placed.select("meta_id", "table_name", "row_idx", "cells", F.inline("finals"))
+    mine = F.transform(F.filter("cells", lambda c: c["column_name"] == F.col("column_name")), lambda c: c["value"])
+    values = F.when(F.size(mine) > 0, mine).otherwise(F.array(F.lit(None).cast("string")))
+    out = told.select("meta_id", "table_name", "row_idx", "column_name", "family", F.posexplode(values).alias("value_no", "value"))
     cast = (
         F.when(F.col("family") == "whole number", F.regexp_replace("value", r"[,\s]", "").try_cast("bigint").cast("string"))
         .when(F.col("family") == "real number", F.regexp_replace("value", r"[,\s]", "").try_cast("double").cast("string"))
         .when(F.col("family") == "date or time", F.col("value").try_cast("timestamp_ntz").cast("string"))
         .otherwise(F.col("value"))
     )
-    return out.select("meta_id", "table_name", "row_idx", F.col("final_name").alias("column_name"), "family", "value", cast.alias("value_cast"))
+    return out.select("meta_id", "table_name", "row_idx", "column_name", (F.col("value_no") + 1).alias("value_no"), "family", "value", cast.alias("value_cast"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtab.operators import drift, measures, packed, snapshots
+from loomtab.schemas import MAPPED_FIELDS
 from loomtab.session import read_table
 
 PACKED_FIELDS = ("origin", "other_names", "dates")
@@ -60,6 +61,11 @@ def p5_versions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_rows(spark: SparkSession, d: str) -> DataFrame:
+    """All sample rows under one schema for each table; casts are tested apart, as SQL dialects cast differently."""
+    return _consistent(spark, d).drop("value_cast")
+
+
+def _consistent(spark: SparkSession, d: str) -> DataFrame:
     return drift.consistent_rows(
         *(read_table(spark, d, t) for t in ("raw_rows", "a_meta_table_of_columns", "a_mapping_table", "a_meta_table"))
     )
@@ -96,15 +102,16 @@ _FAMILY = """CASE WHEN regexp_matches(lower({c}), '^(big)?int') THEN 'whole numb
   WHEN {c} IS NOT NULL THEN 'text' END"""
 
 
-def _drift_sql() -> str:
-    from loomtab.schemas import MAPPED_FIELDS
-
-    feeds = " UNION ALL ".join(
+def _feeds() -> str:
+    return " UNION ALL ".join(
         f"SELECT meta_id, {i} AS rank, '{f}' AS field, unnest(string_split({f}, ',')) AS c FROM a_mapping_table" for i, f in enumerate(MAPPED_FIELDS)
     )
+
+
+def _drift_sql() -> str:
     key = _KEY.format(c="c")
     return f"""WITH {_SNAPS},
-feeds AS (SELECT i.sid, {key} AS name, min_by(field, rank) AS field FROM ({feeds}) JOIN ids i USING (meta_id) GROUP BY 1, 2),
+feeds AS (SELECT i.sid, {key} AS name, min_by(field, rank) AS field FROM ({_feeds()}) JOIN ids i USING (meta_id) GROUP BY 1, 2),
 cols AS (SELECT sid, name, min_by(family, meta_id) FILTER (family IS NOT NULL) AS family FROM (
    SELECT i.sid, meta_id, {_KEY.format(c='column_name')} AS name, {_FAMILY.format(c='value_type')} AS family
    FROM a_meta_table_of_columns JOIN ids i USING (meta_id)) WHERE name <> '' GROUP BY 1, 2),
@@ -125,19 +132,58 @@ UNION ALL SELECT meta_id, 'added', '', name FROM came g WHERE NOT EXISTS (SELECT
 
 def _versions_sql() -> str:
     return f"""WITH {_SNAPS},
+feeds AS (SELECT i.sid, {_KEY.format(c="c")} AS name, min_by(field, rank) AS field FROM ({_feeds()}) JOIN ids i USING (meta_id) GROUP BY 1, 2),
 cols AS (SELECT sid, name, min_by(family, meta_id) FILTER (family IS NOT NULL) AS family FROM (
    SELECT i.sid, meta_id, {_KEY.format(c='column_name')} AS name, {_FAMILY.format(c='value_type')} AS family
    FROM a_meta_table_of_columns JOIN ids i USING (meta_id)) WHERE name <> '' GROUP BY 1, 2),
-prints AS (SELECT sid, count(*) AS n, sha256(array_to_string(list_sort(list(name || chr(1) || coalesce(family, '?'))), chr(2))) AS p FROM cols GROUP BY 1),
+prints AS (SELECT sid, count(*) AS n, sha256(array_to_string(list(name || chr(1) || coalesce(family, '?') || chr(1) || coalesce(field, '') ORDER BY name), chr(2))) AS p
+   FROM cols LEFT JOIN feeds USING (sid, name) GROUP BY 1),
 full_ AS (SELECT s.*, coalesce(p, sha256('')) AS fingerprint, coalesce(n, 0) AS n_columns FROM snaps s LEFT JOIN prints USING (sid))
 SELECT a.sid AS meta_id, a.table_name, a.at, a.fingerprint, a.n_columns, a.fingerprint IS DISTINCT FROM b.fingerprint AS is_new_version
 FROM full_ a LEFT JOIN full_ b ON a.pid = b.sid"""
 
 
+def _rows_sql() -> str:
+    """Events of each column name in time; a rename hands on to the next event of the name it gives."""
+    key = _KEY.format(c="c.name")
+    return f"""WITH RECURSIVE steps AS ({_drift_sql()}),
+{_SNAPS},
+ev AS (SELECT s.table_name, s.at AS since, p.old_name AS name, p.change_kind AS kind, p.new_name AS to_name
+  FROM steps p JOIN snaps s ON s.sid = p.meta_id WHERE change_kind IN ('renamed', 'removed')),
+walk AS (SELECT table_name, since, name, to_name AS at_name, since AS at_since, NULL::TIMESTAMP AS until, true AS open FROM ev WHERE kind = 'renamed'
+  UNION ALL
+  SELECT w.table_name, w.since, w.name, CASE WHEN n.kind = 'renamed' THEN n.to_name ELSE w.at_name END, n.since, CASE WHEN n.kind = 'removed' THEN n.since END, n.kind = 'renamed'
+  FROM walk w JOIN ev n ON n.table_name = w.table_name AND n.name = w.at_name AND n.since > w.at_since
+  WHERE w.open AND NOT EXISTS (SELECT 1 FROM ev m WHERE m.table_name = n.table_name AND m.name = n.name AND m.since > w.at_since AND m.since < n.since)),
+ends AS (SELECT table_name, since, name, arg_max(at_name, at_since) AS final_name, max(until) AS until, true AS renamed FROM walk GROUP BY 1, 2, 3
+  UNION ALL SELECT table_name, since, name, name, since, false FROM ev WHERE kind = 'removed'),
+cols AS (SELECT sid, name, min_by(family, meta_id) FILTER (family IS NOT NULL) AS family FROM (
+   SELECT i.sid, meta_id, {_KEY.format(c='column_name')} AS name, {_FAMILY.format(c='value_type')} AS family
+   FROM a_meta_table_of_columns JOIN ids i USING (meta_id)) WHERE name <> '' GROUP BY 1, 2),
+known AS (SELECT c.*, s.table_name, s.at FROM cols c JOIN snaps s USING (sid)),
+route AS (SELECT k.sid, k.table_name, k.at, k.name, k.family,
+  coalesce(arg_min(e.final_name, e.since) FILTER (e.renamed AND e.since > k.at), k.name) AS final_name,
+  coalesce(arg_min(e.final_name, e.since) FILTER (e.since > k.at), k.name) AS own_name,
+  (min(struct_pack(s := e.since, u := e.until)) FILTER (e.since > k.at)).u AS until
+  FROM known k LEFT JOIN ends e ON e.table_name = k.table_name AND e.name = k.name GROUP BY 1, 2, 3, 4, 5),
+clash AS (SELECT *, count(*) OVER (PARTITION BY sid, final_name) > 1 AS clash FROM route),
+named AS (SELECT * REPLACE (CASE WHEN until IS NOT NULL AND bool_or(clash) OVER (PARTITION BY table_name, own_name, until)
+  THEN own_name || ' (until ' || until || ')' ELSE final_name END AS final_name) FROM clash),
+finals AS (SELECT table_name, final_name, max_by(family, named.at) FILTER (family IS NOT NULL) AS family FROM named GROUP BY 1, 2),
+cells AS (SELECT r.meta_id, r.table_name, r.row_idx, c.value AS value, k, {key} AS name FROM (SELECT meta_id, table_name, row_idx, unnest(cells) AS c, generate_subscripts(cells, 1) AS k FROM raw_rows) r),
+put AS (SELECT c.meta_id, c.table_name, c.row_idx, c.value, c.k, coalesce(n.final_name, c.name) AS column_name
+  FROM cells c LEFT JOIN ids i USING (meta_id) LEFT JOIN named n ON n.sid = i.sid AND n.name = c.name WHERE c.name <> ''),
+every AS (SELECT r.meta_id, r.table_name, r.row_idx, f.final_name AS column_name FROM raw_rows r JOIN finals f USING (table_name)
+  UNION SELECT meta_id, table_name, row_idx, column_name FROM put)
+SELECT r.meta_id, r.table_name, r.row_idx, r.column_name, (row_number() OVER (PARTITION BY r.meta_id, r.table_name, r.row_idx, r.column_name ORDER BY p.k))::INT AS value_no, f.family, p.value
+FROM every r LEFT JOIN put p USING (meta_id, table_name, row_idx, column_name) LEFT JOIN finals f ON f.table_name = r.table_name AND f.final_name = r.column_name"""
+
+
 ORACLES = {
     "p3_found": _changes_sql(("quantity_clean",)) + "SELECT meta_id, item_no, change_kind FROM both_ WHERE change_kind <> 'changed' OR fields <> ''",
     "p3_fields": _changes_sql(("quantity_clean", "status", "role"))
     + "SELECT change_kind, fields, count(*) AS n FROM both_ WHERE change_kind <> 'changed' OR fields <> '' GROUP BY 1, 2",
     "p5_found": _drift_sql(),
     "p5_versions": _versions_sql(),
+    "p5_rows": _rows_sql(),
 }

@@ -21,6 +21,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.maxPlanStringLength", "100000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -32,12 +33,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Checkpoint into the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local tests) a temporary folder is set.
-    The copy survives lost executors, unlike a local checkpoint.
+    The copy survives lost executors, unlike a local checkpoint. Where that
+    setting is absent, a local session gets a folder of its own; on a cluster
+    this raises, as a folder of one machine would lose the data.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="loomtab-checkpoint-"))
     return df.checkpoint(eager=eager)

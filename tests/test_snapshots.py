@@ -145,3 +145,36 @@ def test_rows_keep_both_cells_of_a_removed_and_a_renamed_column(spark):
     again = spark.createDataFrame([(1, "t", 0, [(0, "b", "1")]), (3, "t", 0, [(0, "b", "2")])], schema)
     got = {(r["meta_id"], r["column_name"]): r["value"] for r in drift.consistent_rows(again, cols, maps, meta).collect()}
     assert got == {(1, "b"): "1", (3, "b"): "2"}
+
+
+def test_cells_of_one_column_and_unlisted_ones_all_stay(spark):
+    cols, maps, meta = drift_case(spark, [{"qty": "int", "Qty_": "int"}, {"n": "int"}], [{"quantity": "qty"}, {"quantity": "n"}])
+    schema = "meta_id bigint, table_name string, row_idx int, cells array<struct<pos:int,name:string,value:string>>"
+    raw = spark.createDataFrame([(1, "t", 0, [(0, "QTY", "1"), (1, "qty_", "2"), (2, "other", "3"), (3, None, "4")]), (9, "t", 0, [(0, "z", "5")]), (2, "t", 1, None)], schema)
+    got = {(r["meta_id"], r["column_name"], r["value_no"]): (r["value"], r["family"]) for r in drift.consistent_rows(raw, cols, maps, meta).collect()}
+    whole = "whole number"
+    assert got == {
+        (1, "n", 1): ("1", whole), (1, "n", 2): ("2", whole), (1, "other", 1): ("3", None),
+        (9, "z", 1): ("5", None), (9, "n", 1): (None, whole), (2, "n", 1): (None, whole),
+    }
+    assert [(r["meta_id"], r["name"], r["raw_names"]) for r in drift.clashing_names(cols, meta).collect()] == [(1, "qty", ["Qty_", "qty"])]
+
+
+def test_equal_fingerprints_make_no_step_and_fields_count(spark):
+    cols, maps, meta = drift_case(spark, [{"a": "int"}, {"A ": "bigint"}, {"a": "int"}], [{"quantity": "a"}, {"quantity": "a"}, {"cost": "a"}])
+    prints = [r["fingerprint"] for r in drift.schema_versions(cols, maps, meta).orderBy("meta_id").collect()]
+    assert prints[0] == prints[1] != prints[2]
+    assert drift.migration_steps(cols, maps, meta).count() == 0
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from loomtab.session import cut_lineage
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(RuntimeError):
+        cut_lineage(SimpleNamespace(sparkSession=session))
