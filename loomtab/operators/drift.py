@@ -34,36 +34,52 @@ def type_family(name: Column) -> Column:
     return case.otherwise(F.lit(None).cast("string"))
 
 
+#: Parts a column's name, family and field in its sign.
+_PART = "\u0001"
+
+
+def _sign(name: Column, family: Column, field: Column) -> Column:
+    return F.concat_ws(_PART, name, F.coalesce(family, F.lit("?")), F.coalesce(field, F.lit("")))
+
+
+def column_of(sign: Column) -> Column:
+    """The struct (name, family, field) that a sign stands for."""
+    part = lambda i: F.split_part(sign, F.lit(_PART), F.lit(i))
+    return F.struct(part(1).alias("name"), F.nullif(part(2), F.lit("?")).alias("family"), F.nullif(part(3), F.lit("")).alias("field"))
+
+
 def snapshot_schemas(columns: DataFrame, mapping: DataFrame, chain: DataFrame, fields: Sequence[str] = MAPPED_FIELDS) -> DataFrame:
-    """``snapshot_id, table_name, at, prev_id, cols, fingerprint``: the schema of each snapshot as one sorted list of (name, family, field).
+    """``snapshot_id, table_name, at, prev_id, cols, fingerprint``: the schema of each snapshot as one sorted list of signs (see :func:`column_of`).
 
     Names that differ only in writing are one column. Its type is the first
     known one by delivery; ``field`` is the canonical field it feeds, the first
     by canonical order if several, else NULL. The fingerprint is a hash of the
     list, so snapshots of equal fingerprints have equal schemas; one without
-    columns has that of the empty list.
+    columns has that of the empty list. Columns meet once, by delivery; only
+    snapshots of several deliveries are put together from their parts.
     """
-    told = columns.select("meta_id", column_key(F.col("column_name")).alias("name"), type_family(F.col("value_type")).alias("family"))
-    feeds = mapping.select(
-        "meta_id",
-        F.inline(F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(f).alias("field"), F.col(f).alias("names")) for i, f in enumerate(fields)])),
-    ).where("names IS NOT NULL")
-    feeds = feeds.select("meta_id", "rank", "field", F.explode(F.split("names", ",")).alias("name"))
-    feeds = feeds.select("meta_id", "rank", "field", column_key(F.col("name")).alias("name"))
-    # one union instead of a join: types and fields of a column meet in one aggregation
-    facts = told.select(
-        "meta_id", "name", F.lit(True).alias("stands"), F.when(F.col("family").isNotNull(), F.struct("meta_id", "family")).alias("typed"), F.lit(None).cast("struct<rank:int,field:string>").alias("fed")
-    ).unionByName(
-        feeds.select("meta_id", "name", F.lit(None).cast("boolean").alias("stands"), F.lit(None).cast("struct<meta_id:bigint,family:string>").alias("typed"), F.struct("rank", "field").alias("fed"))
-    )
-    # placed once by snapshot: both aggregations below keep that placing
-    placed = facts.where("name <> ''").join(chain.select("meta_id", "snapshot_id"), "meta_id").drop("meta_id").repartition("snapshot_id")
-    found = placed.groupBy("snapshot_id", "name").agg(F.max("stands").alias("stands"), F.min("typed").alias("typed"), F.min("fed").alias("fed")).where("stands")
-    listed = found.groupBy("snapshot_id").agg(F.array_sort(F.collect_list(F.struct("name", F.col("typed.family").alias("family"), F.col("fed.field").alias("field")))).alias("cols"))
-    snaps = chain.select("table_name", "at", "snapshot_id", "prev_id").distinct().join(listed, "snapshot_id", "left")
-    cols = F.coalesce("cols", F.array().cast("array<struct<name:string,family:string,field:string>>"))
-    signs = F.transform(cols, lambda c: F.concat_ws("\u0001", c["name"], F.coalesce(c["family"], F.lit("?")), F.coalesce(c["field"], F.lit(""))))
-    return snaps.select("snapshot_id", "table_name", "at", "prev_id", cols.alias("cols"), F.sha2(F.array_join(signs, "\u0002"), 256).alias("fingerprint"))
+    named = columns.select("meta_id", F.translate(column_key(F.col("column_name")), _PART, "").alias("name"), type_family(F.col("value_type")).alias("family")).where("name <> ''")
+    told = named.groupBy("meta_id").agg(F.collect_list(F.struct("name", "meta_id", "family")).alias("told"))
+
+    def feeding(rank: int, f: str) -> Column:
+        return F.transform(F.split(F.coalesce(F.col(f), F.lit("")), ","), lambda n: F.struct(column_key(n).alias("name"), F.lit(rank).alias("rank"), F.lit(f).alias("field")))
+
+    lists = F.flatten(F.array(*[feeding(i, f) for i, f in enumerate(fields)]))
+    fed = mapping.select("meta_id", F.filter(lists, lambda x: x["name"] != "").alias("fed")).groupBy("meta_id").agg(F.flatten(F.collect_list("fed")).alias("fed"))
+    none = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+    parts = chain.select("meta_id", "table_name", "at", "snapshot_id", "prev_id", "n_deliveries").join(told, "meta_id", "left").join(fed, "meta_id", "left")
+    parts = parts.withColumns({
+        "told": none("told", "array<struct<name:string,meta_id:bigint,family:string>>"), "fed": none("fed", "array<struct<name:string,rank:int,field:string>>")
+    })
+    keys = ["snapshot_id", "table_name", "at", "prev_id"]
+    several = parts.where("n_deliveries > 1").groupBy(*keys).agg(F.flatten(F.collect_list("told")).alias("told"), F.flatten(F.collect_list("fed")).alias("fed"))
+    whole = parts.where("n_deliveries = 1").select(*keys, "told", "fed").unionByName(several)
+    whole = whole.withColumn("names", F.array_sort(F.array_distinct(F.transform("told", lambda c: c["name"]))))
+    of = lambda c, n, part: F.filter(c, lambda x: (x["name"] == n) & x[part].isNotNull())
+    family = lambda n: F.array_min(F.transform(of("told", n, "family"), lambda x: F.struct(x["meta_id"], x["family"].alias("family"))))["family"]
+    field = lambda n: F.array_min(F.transform(of("fed", n, "field"), lambda x: F.struct(x["rank"], x["field"].alias("field"))))["field"]
+    full = whole.select(*keys, F.transform("names", lambda n: _sign(n, family(n), field(n))).alias("cols"))
+    return full.withColumn("fingerprint", F.sha2(F.array_join("cols", "\u0002"), 256))
 
 
 def schema_versions(columns: DataFrame, mapping: DataFrame, meta: DataFrame) -> DataFrame:
@@ -86,7 +102,11 @@ def _steps_between(pairs: DataFrame) -> DataFrame:
         old["family"].alias("old_family"), new["family"].alias("new_family"),
     )
     none = F.lit(None).cast("struct<name:string,family:string,field:string>")
-    p = pairs.withColumns({"old_names": names("old"), "new_names": names("new")})
+    # columns of equal signs make no step, so only the differences are looked at
+    p = pairs.select(
+        "old_print", "new_print", F.transform(F.array_except("old", "new"), column_of).alias("old"), F.transform(F.array_except("new", "old"), column_of).alias("new")
+    )
+    p = p.withColumns({"old_names": names("old"), "new_names": names("new")})
     p = p.withColumns({
         "gone": F.filter("old", lambda c: ~F.array_contains("new_names", c["name"])), "came": F.filter("new", lambda c: ~F.array_contains("old_names", c["name"])),
         # both lists are sorted by name, so what stayed stands side by side
@@ -135,12 +155,14 @@ def migration_steps(columns: DataFrame, mapping: DataFrame, meta: DataFrame) ->
 def _steps_of(schemas: DataFrame) -> DataFrame:
     before = schemas.select(F.col("snapshot_id").alias("prev_id"), F.col("fingerprint").alias("old_print"))
     moves = schemas.select("snapshot_id", "prev_id", F.col("fingerprint").alias("new_print")).join(before, "prev_id").where("old_print <> new_print")
-    versions = schemas.groupBy("fingerprint").agg(F.first("cols").alias("cols"))
     pairs = moves.select("old_print", "new_print").distinct()
+    asked = pairs.select(F.explode(F.array("old_print", "new_print")).alias("fingerprint")).distinct()
+    versions = schemas.select("fingerprint", "cols").join(asked, "fingerprint", "left_semi").groupBy("fingerprint").agg(F.first("cols").alias("cols"))
     pairs = pairs.join(versions.select(F.col("fingerprint").alias("old_print"), F.col("cols").alias("old")), "old_print")
     pairs = pairs.join(versions.select(F.col("fingerprint").alias("new_print"), F.col("cols").alias("new")), "new_print")
-    steps = _steps_between(pairs).where(F.size("steps") > 0)
-    return moves.join(steps, ["old_print", "new_print"]).select(F.col("snapshot_id").alias("meta_id"), F.inline("steps"))
+    # outer, as a filter on the list would move below and work it out again
+    steps = _steps_between(pairs).select("old_print", "new_print", F.inline_outer("steps")).where("change_kind IS NOT NULL")
+    return moves.join(steps, ["old_print", "new_print"]).drop("old_print", "new_print", "prev_id").withColumnRenamed("snapshot_id", "meta_id")
 
 
 def clashing_names(columns: DataFrame, meta: DataFrame) -> DataFrame:
@@ -214,7 +236,7 @@ def consistent_rows(raw_rows: DataFrame, columns: DataFrame, mapping: DataFrame,
     chain = snapshot_chain(meta)
     schemas = cut_lineage(snapshot_schemas(columns, mapping, chain))
     names = final_names(cut_lineage(_steps_of(schemas)), chain)
-    known = schemas.select("snapshot_id", "table_name", "at", F.inline("cols"))
+    known = schemas.select("snapshot_id", "table_name", "at", F.inline(F.transform("cols", column_of))).drop("field")
     routed = known.join(names, ["table_name", "name"], "left").groupBy("snapshot_id", "table_name", "at", "name", "family").agg(
         F.min(F.when(F.col("renamed") & (F.col("since") > F.col("at")), F.struct("since", "final_name"))).alias("r"),
         F.min(F.when(F.col("since") > F.col("at"), F.struct("since", "final_name", "until"))).alias("e"),

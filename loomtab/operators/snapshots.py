@@ -13,7 +13,7 @@ PRESENCE = "\u0001present"
 
 
 def snapshot_chain(meta: DataFrame, table: str = "table_name", at: str = "scrape_timestamp", id_: str = "meta_id") -> DataFrame:
-    """``meta_id, snapshot_id, prev_id, next_id`` (and table, time) of each delivery.
+    """``meta_id, snapshot_id, prev_id, next_id, n_deliveries`` (and table, time) of each delivery.
 
     Deliveries with the same table and time are one snapshot, known by its
     smallest id; snapshots of a table follow one another by time. A delivery
@@ -25,7 +25,7 @@ def snapshot_chain(meta: DataFrame, table: str = "table_name", at: str = "scrape
     """
     deliveries = meta.select(F.col(id_).alias("meta_id"), F.col(table).alias("table_name"), F.col(at).alias("at"))
     deliveries = deliveries.where("meta_id IS NOT NULL AND table_name IS NOT NULL AND at IS NOT NULL")
-    snaps = deliveries.groupBy("table_name", "at").agg(F.min("meta_id").alias("snapshot_id"))
+    snaps = deliveries.groupBy("table_name", "at").agg(F.min("meta_id").alias("snapshot_id"), F.count(F.lit(1)).alias("n_deliveries"))
     snaps = snaps.withColumn("day", F.to_date("at"))
     by_day = W.partitionBy("table_name", "day").orderBy("at")
     snaps = snaps.withColumn("prev_in", F.lag("snapshot_id").over(by_day)).withColumn("next_in", F.lead("snapshot_id").over(by_day))
@@ -42,6 +42,7 @@ def snapshot_chain(meta: DataFrame, table: str = "table_name", at: str = "scrape
         "snapshot_id",
         F.coalesce("prev_in", "prev_out").alias("prev_id"),
         F.coalesce("next_in", "next_out").alias("next_id"),
+        "n_deliveries",
     )
     return deliveries.join(chain, ["table_name", "at"]).distinct()
 
