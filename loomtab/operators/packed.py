@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import re
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +24,10 @@ DIALECTS: tuple[tuple[str, str], ...] = (
 )
 
 _MONTHS = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
-#: Text that is never parted: quotes, brackets, dates with a comma or slashes, spans of years.
+#: Quotes as part of a dialect: ``quoted`` text is never parted, or the straight mark is a ``letter`` (as for inches). A quote opens and closes at the edge of a word.
+QUOTES: tuple[tuple[str, str], ...] = (("quoted", r'(?<![\p{L}\p{N}])"[^"]*"(?![\p{L}\p{N}])'), ("letter", ""))
+#: Text that no dialect parts: quotes whose two marks differ, brackets, dates with a comma or slashes, spans of years.
 PROTECTED: tuple[str, ...] = (
-    r'"[^"]*"',
     r"“[^”]*”",
     r"«[^»]*»",
     r"„[^“”]*[“”]",
@@ -37,18 +41,31 @@ _OPEN, _CLOSE, _CUT, _QUOTE = "\u0001", "\u0002", "\u0003", "\u0004"
 
 
 def guard_names(names: Sequence[str]) -> str:
-    """A pattern for names that hold a delimiter themselves, longest first."""
-    import re
+    """A pattern for names that hold a delimiter themselves, the longest first; common beginnings are written once, so many names cost little."""
 
-    return "|".join(rf"(?<!\p{{L}}){re.sub(r'([^\w\s])', r'\\\1', n)}(?!\p{{L}})" for n in sorted(set(names), key=len, reverse=True))
+    def quote(text: str) -> str:
+        return re.sub(r"([^\w\s])", r"\\\1", text)
 
+    def tree(words: list[str]) -> str:
+        ways: list[str] = []
+        for _, group in groupby((w for w in words if w), key=lambda w: w[0]):
+            group = list(group)
+            head = os.path.commonprefix(group)
+            rest = tree([w[len(head) :] for w in group]) if len(group) > 1 else ""
+            ways.append(quote(head) + rest)
+        inner = "|".join(ways)
+        return (f"(?:{inner})?" if "" in words else f"(?:{inner})") if inner else ""
 
-def protect(cell: Column, names: str = "") -> Column:
-    """A cell with what is never parted between two marks; done once, so that each dialect only looks at the marks."""
+    ordered = sorted({n for n in names if n})
+    return rf"(?<!\p{{L}}){tree(ordered)}(?!\p{{L}})" if ordered else ""
+
+
+def protect(cell: Column, names: str = "", quotes: str = QUOTES[0][1]) -> Column:
+    """A cell with what is never parted between two marks; done once for each style of quotes, so that each dialect only looks at the marks."""
     text = F.translate(cell, _OPEN + _CLOSE + _CUT + _QUOTE, "")
     text = F.regexp_replace(text, '(^|[;,|•/>\\s])"""(?!")', f'$1"{_QUOTE}')
     text = F.regexp_replace(text, '""', _QUOTE)
-    kept = "|".join((*([names] if names else []), *PROTECTED))
+    kept = "|".join(x for x in (names, quotes, *PROTECTED) if x)
     return F.regexp_replace(text, f"({kept})", f"{_OPEN}$1{_CLOSE}")
 
 
@@ -78,33 +95,52 @@ def value_shape(v: Column) -> Column:
     return F.when(F.length(s) <= 60, s).otherwise(F.concat(F.lit(_OPEN), F.sha2(s, 256)))
 
 
+#: What a sign costs, and a straight quote that opens nothing and follows no number, in bits (fixed values).
+SIGN_BITS, STRAY_BITS = 4.0, 16.0
+
+
+def _ways(cell: Column, names: str) -> Column:
+    """Every dialect's parse of a cell: (rank, dialect, items); dialects that can't differ from an earlier one are left out."""
+    ways = []
+    for style, (label, quotes) in enumerate(QUOTES):
+        protected = protect(cell, names, quotes)
+        for i, (d, rx) in enumerate(DIALECTS):
+            rank, name = style * len(DIALECTS) + i, d if style == 0 else f"{d}, quotes as {label}s"
+            one = F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("dialect"), part(protected, rx).alias("items"))
+            there = F.lit(True) if i == 0 else cell.rlike(rx)
+            # one value is one value in either style
+            ways.append(F.when(there & cell.contains('"'), one) if style and i else None if style else F.when(there, one))
+    return F.filter(F.array(*[w for w in ways if w is not None]), lambda w: w.isNotNull())
+
+
 def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] = (), id_: str = "row_id") -> DataFrame:
     """``row_id, field_name, item_pos, item_value, n_items, dialect`` of each value of each cell.
 
-    Every distinct cell is parted by every dialect. A parse costs, for each of
-    its values, the length of the value's code: the value's own share among all
-    values if it stands alone elsewhere, else the share of its writing pattern
-    plus a fixed price per sign. Shares are counted over the whole column, from
-    the cells that only one dialect fits. The cheapest parse holds; of equal
-    ones the one with fewer values, then the first of :data:`DIALECTS`.
+    A dialect is a kind of delimiter and a style of quotes. Cells without any
+    delimiter are one value and are read in place. Every other distinct cell is
+    parted by every dialect. A parse costs, for each of its values, the length
+    of the value's code: the value's own share among all values if it stands
+    alone elsewhere, else the share of its writing pattern plus a fixed price
+    per sign, and more for a straight quote without a partner that follows no
+    number. Shares are counted over the whole column: from cells that all
+    dialects part alike, and from the parts at strong delimiters, which stand
+    inside a value only by mistake. The cheapest parse holds; of equal ones the
+    one with fewer values, then the first by style of quotes and by
+    :data:`DIALECTS`.
 
     Positions count from 1 over non-empty values, and a repeated value counts
     again. NULL cells and cells without a value give no row; a cell of signs
-    alone is one value. A cell in which a
-    quote never closes is parted as if the quote were a letter. ``guards`` are
-    names that hold a delimiter and are one value. Very long cells are parted
-    whole. Repeated ``row_id`` repeat their values; other columns don't matter.
+    alone is one value. A cell in which a quote never closes is parted as if
+    the quote were a letter. ``guards`` are names that hold a delimiter and are
+    one value. Very long cells are parted whole. Repeated ``row_id`` repeat
+    their values; other columns don't matter.
     """
     names = guard_names(guards)
     long = rows.select(id_, F.inline(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("cell")) for f in fields])))
-    long = long.where("cell IS NOT NULL")
-    cells = long.groupBy("field_name", "cell").agg(F.count(F.lit(1)).alias("n"))
-    each = [F.struct(F.lit(i).alias("rank"), F.lit(d).alias("dialect"), part(F.col("protected"), rx).alias("items")) for i, (d, rx) in enumerate(DIALECTS)]
-    # a dialect whose delimiter isn't there parts like the first, so it need not be tried
-    tried = [each[0], *[F.when(F.col("cell").rlike(rx), e) for e, (_, rx) in zip(each[1:], DIALECTS[1:])]]
-    parses = cells.select("*", protect(F.col("cell"), names).alias("protected")).select(
-        "field_name", "cell", "n", F.filter(F.array(*tried), lambda w: w.isNotNull()).alias("all")
-    )
+    long = long.where("cell IS NOT NULL").withColumn("open", F.col("cell").rlike("|".join(rx for _, rx in DIALECTS[1:])))
+    alone = long.where("NOT open").select(id_, "field_name", F.get(part(protect(F.col("cell"), names), DIALECTS[0][1]), F.lit(0)).alias("item_value")).where("item_value IS NOT NULL")
+    cells = long.where("open").groupBy("field_name", "cell").agg(F.count(F.lit(1)).alias("n"))
+    parses = cells.select("field_name", "cell", "n", _ways(F.col("cell"), names).alias("all"))
     # dialects that part alike are one, known by the first of them
     distinct = F.filter("all", lambda p, i: F.size(F.filter(F.slice(F.col("all"), 1, i), lambda q: q["items"] == p["items"])) == 0)
     # each distinct cell is parsed once: kept in the shared folder, or the filter below would move before the grouping
@@ -114,11 +150,12 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
         F.flatten(F.transform(F.filter("ways", lambda w: w["dialect"] == "strong"), lambda w: w["items"]))
     )
     taught = parses.select("field_name", "n", F.explode(sure).alias("value"))
+    taught = taught.unionByName(alone.select("field_name", F.lit(1).cast("bigint").alias("n"), F.col("item_value").alias("value")))
     values = taught.groupBy("field_name", "value").agg(F.sum("n").alias("n"))
     shapes = values.groupBy("field_name", value_shape(F.col("value")).alias("shape")).agg(F.sum("n").alias("n"))
     totals = values.groupBy("field_name").agg(F.sum("n").alias("total"))
-    open_ = parses.where(F.size("ways") > 1).select("field_name", "cell", F.explode("ways").alias("way"))
-    pieces = open_.select("field_name", "cell", F.col("way.rank").alias("rank"), F.explode("way.items").alias("value"))
+    doubtful = parses.where(F.size("ways") > 1).select("field_name", "cell", F.explode("ways").alias("way"))
+    pieces = doubtful.select("field_name", "cell", F.col("way.rank").alias("rank"), F.explode("way.items").alias("value"))
     wanted = pieces.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("uses")).withColumn("shape", value_shape(F.col("value")))
     coded = (
         wanted.join(values.withColumnRenamed("n", "n_value"), ["field_name", "value"], "left")
@@ -127,7 +164,8 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     )
     total = F.coalesce(F.col("total"), F.lit(1)) + F.lit(1.0)
     by_value = F.when(F.col("n_value").isNotNull(), 1 - F.log2(F.col("n_value") / total))
-    by_shape = 1 - F.log2((F.coalesce(F.col("n_shape"), F.lit(0)) + 0.001) / total) + F.length("value") * F.lit(4.0)
+    stray = F.regexp_count("value", F.lit(r'(?<!\d)"')) % 2 == 1
+    by_shape = 1 - F.log2((F.coalesce(F.col("n_shape"), F.lit(0)) + 0.001) / total) + F.length("value") * F.lit(SIGN_BITS) + F.when(stray, STRAY_BITS).otherwise(0.0)
     costs = coded.select("field_name", "value", F.least(by_value, by_shape).alias("bits"))
     priced = pieces.join(costs, ["field_name", "value"]).groupBy("field_name", "cell", "rank").agg(F.sum("bits").alias("bits"), F.count(F.lit(1)).alias("k"))
     best = priced.groupBy("field_name", "cell").agg(F.min(F.struct(F.round("bits", 6).alias("bits"), "k", "rank")).alias("b"))
@@ -135,10 +173,11 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     chosen = parses.join(best, ["field_name", "cell"], "left").select(
         "field_name", "cell", F.coalesce(F.get(F.filter("ways", lambda w: w["rank"] == F.col("best")), F.lit(0)), F.element_at("ways", 1)).alias("way")
     )
-    keyed = long.select(id_, "field_name", _cell_key(F.col("cell")).alias("cell")).join(chosen, ["field_name", "cell"])
+    keyed = long.where("open").select(id_, "field_name", _cell_key(F.col("cell")).alias("cell")).join(chosen, ["field_name", "cell"])
     counted = keyed.select(id_, "field_name", F.size("way.items").alias("n_items"), F.col("way.dialect").alias("dialect"), F.col("way.items").alias("items"))
     placed = counted.select(id_, "field_name", "n_items", "dialect", F.posexplode("items").alias("p", "item_value"))
-    return placed.select(id_, "field_name", (F.col("p") + 1).alias("item_pos"), "item_value", "n_items", "dialect")
+    several = placed.select(id_, "field_name", (F.col("p") + 1).alias("item_pos"), "item_value", "n_items", "dialect")
+    return several.unionByName(alone.select(id_, "field_name", F.lit(1).alias("item_pos"), "item_value", F.lit(1).alias("n_items"), F.lit(DIALECTS[0][0]).alias("dialect")))
 
 
 def _cell_key(cell: Column) -> Column:
@@ -146,8 +185,8 @@ def _cell_key(cell: Column) -> Column:
     return F.when(F.length(cell) <= 64, cell).otherwise(F.concat(F.lit(_OPEN), F.sha2(cell, 256)))
 
 
-def names_with_delimiters(names: DataFrame, column: str = "country", bound: int = 1000) -> list[str]:
-    """The distinct names that hold a delimiter themselves; refuses more than ``bound``, as they become one pattern."""
+def names_with_delimiters(names: DataFrame, column: str = "country", bound: int = 100_000) -> list[str]:
+    """The distinct names that hold a delimiter themselves; refuses more than ``bound``, as they become one pattern (a tree of their common beginnings) that is sent to all tasks."""
     rx = "|".join(rx for _, rx in DIALECTS[1:])
     found = names.select(F.trim(F.col(column)).alias("name")).where(F.col("name").rlike(f"({rx})")).distinct().limit(bound + 1).collect()
     if len(found) > bound:

@@ -81,3 +81,31 @@ def test_long_writing_patterns_differ_to_their_end(spark):
     rows = [("long", "Ab-1/" * 20 + "end"), ("same", "Cd-27/" * 20 + "other"), ("other", "Ab-1/" * 20 + "9"), ("short", "Old Anvil, Mk 3")]
     got = {r["k"]: r["s"] for r in spark.createDataFrame(rows, "k string, v string").select("k", value_shape("v").alias("s")).collect()}
     assert got["long"] == got["same"] != got["other"] and got["short"] == "a, a 9"
+
+
+def test_quotes_may_be_letters(spark):
+    cases = {
+        '6" barrel; 8" barrel; x': ['6" barrel', '8" barrel', "x"],
+        '12" gun, 14" gun': ['12" gun', '14" gun'],
+        '"Old Anvil, Mk 3"; "Red Heron"': ["Old Anvil, Mk 3", "Red Heron"],
+        'Red "Sarne, Mk 2" Heron, Old Anvil': ['Red "Sarne, Mk 2" Heron', "Old Anvil"],
+    }
+    taught = ['5" gun', '7" gun', "Red Heron"] * 3
+    assert dict(zip(cases, parts(spark, [*cases, *taught]))) == cases
+
+
+def test_more_than_a_thousand_names_with_delimiters(spark):
+    import random
+    import re
+
+    from loomtab.operators.packed import guard_names
+
+    rng = random.Random(5)
+    names = sorted({"".join(rng.choice("abcdegh") for _ in range(rng.randint(2, 6))).title() + rng.choice([" and ", ", ", "/"]) + rng.choice(["Sund", "Sunda", "Merrin"]) for _ in range(3000)})
+    assert len(names) > 1000
+    df = spark.createDataFrame([(n,) for n in names], "country string")
+    assert names_with_delimiters(df) == names
+    pattern = re.compile(guard_names(names).replace(r"\p{L}", "[A-Za-z]"))
+    assert all(pattern.fullmatch(n) for n in names) and not pattern.fullmatch("Zz and Sund") and guard_names([]) == ""
+    got = parts(spark, [f"{names[7]}, {names[1200]}", f"Zemlin; {names[-1]}"], names)
+    assert got == [[names[7], names[1200]], ["Zemlin", names[-1]]]
