@@ -22,6 +22,8 @@ DIALECTS: tuple[tuple[str, str], ...] = (
     ("slash", r"/"),
     ("or", r"\sor\s"),
 )
+#: Finds a delimiter of any dialect, and sometimes a sign that is none; quick, as every cell of every row is looked at.
+ANY_DELIMITER = r"[;,/|•·‣▪¦&<\r\n]|\s(?:and|or|\(?\d{1,3}[.)])\s|^\(?\d{1,3}[.)]\s"
 
 _MONTHS = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
 #: Quotes as part of a dialect: ``quoted`` text is never parted, or the straight mark is a ``letter`` (as for inches). A quote opens and closes at the edge of a word.
@@ -60,13 +62,17 @@ def guard_names(names: Sequence[str]) -> str:
     return rf"(?<!\p{{L}}){tree(ordered)}(?!\p{{L}})" if ordered else ""
 
 
-def protect(cell: Column, names: str = "", quotes: str = QUOTES[0][1]) -> Column:
-    """A cell with what is never parted between two marks; done once for each style of quotes, so that each dialect only looks at the marks."""
+def _plain(cell: Column) -> Column:
+    """A cell without the signs that mark its parts, and with doubled quotes as one sign."""
     text = F.translate(cell, _OPEN + _CLOSE + _CUT + _QUOTE, "")
     text = F.regexp_replace(text, '(^|[;,|•/>\\s])"""(?!")', f'$1"{_QUOTE}')
-    text = F.regexp_replace(text, '""', _QUOTE)
+    return F.regexp_replace(text, '""', _QUOTE)
+
+
+def protect(cell: Column, names: str = "", quotes: str = QUOTES[0][1]) -> Column:
+    """A cell with what is never parted between two marks; done once for each style of quotes, so that each dialect only looks at the marks."""
     kept = "|".join(x for x in (names, quotes, *PROTECTED) if x)
-    return F.regexp_replace(text, f"({kept})", f"{_OPEN}$1{_CLOSE}")
+    return F.regexp_replace(_plain(cell), f"({kept})", f"{_OPEN}$1{_CLOSE}")
 
 
 def part(protected: Column, delimiter: str) -> Column:
@@ -99,18 +105,18 @@ def value_shape(v: Column) -> Column:
 SIGN_BITS, STRAY_BITS = 4.0, 16.0
 
 
-def _ways(cell: Column, names: str) -> Column:
-    """Every dialect's parse of a cell: (rank, dialect, items); dialects that can't differ from an earlier one are left out."""
+def _ways(cell: Column, protected: Sequence[Column]) -> Column:
+    """Every dialect's parse of a cell that is protected for each style of quotes: (rank, dialect, items), without dialects that can't differ from an earlier one."""
     ways = []
-    for style, (label, quotes) in enumerate(QUOTES):
-        protected = protect(cell, names, quotes)
+    for style, ((label, _), marked) in enumerate(zip(QUOTES, protected)):
         for i, (d, rx) in enumerate(DIALECTS):
             rank, name = style * len(DIALECTS) + i, d if style == 0 else f"{d}, quotes as {label}s"
-            one = F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("dialect"), part(protected, rx).alias("items"))
-            there = F.lit(True) if i == 0 else cell.rlike(rx)
-            # one value is one value in either style
-            ways.append(F.when(there & cell.contains('"'), one) if style and i else None if style else F.when(there, one))
-    return F.filter(F.array(*[w for w in ways if w is not None]), lambda w: w.isNotNull())
+            one = F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("dialect"), part(marked, rx).alias("items"))
+            if i == 0 and style == 0:
+                ways.append(one)
+            elif i:  # one value is one value in either style
+                ways.append(F.when(marked.isNotNull() & cell.rlike(rx), one))
+    return F.filter(F.array(*ways), lambda w: w.isNotNull())
 
 
 def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] = (), id_: str = "row_id") -> DataFrame:
@@ -137,20 +143,22 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     """
     names = guard_names(guards)
     long = rows.select(id_, F.inline(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("cell")) for f in fields])))
-    long = long.where("cell IS NOT NULL").withColumn("open", F.col("cell").rlike("|".join(rx for _, rx in DIALECTS[1:])))
-    alone = long.where("NOT open").select(id_, "field_name", F.get(part(protect(F.col("cell"), names), DIALECTS[0][1]), F.lit(0)).alias("item_value")).where("item_value IS NOT NULL")
-    cells = long.where("open").groupBy("field_name", "cell").agg(F.count(F.lit(1)).alias("n"))
-    parses = cells.select("field_name", "cell", "n", _ways(F.col("cell"), names).alias("all"))
+    long, open_ = long.where("cell IS NOT NULL"), F.col("cell").rlike(ANY_DELIMITER)
+    single = clean_value(_plain(F.col("cell")))
+    cells = long.groupBy("field_name", "cell").agg(F.count(F.lit(1)).alias("n")).withColumn("open", open_)
+    marked = {f"as_{label}": F.when(F.col("open") & (F.col("cell").contains('"') | F.lit(i == 0)), protect(F.col("cell"), names, rx)) for i, (label, rx) in enumerate(QUOTES)}
+    one = F.array(F.struct(F.lit(0).alias("rank"), F.lit(DIALECTS[0][0]).alias("dialect"), F.filter(F.array(single), lambda v: v != "").alias("items")))
+    parses = cells.withColumns(marked).select("field_name", "cell", "n", "open", F.when(F.col("open"), _ways(F.col("cell"), [F.col(m) for m in marked])).otherwise(one).alias("all"))
     # dialects that part alike are one, known by the first of them
     distinct = F.filter("all", lambda p, i: F.size(F.filter(F.slice(F.col("all"), 1, i), lambda q: q["items"] == p["items"])) == 0)
     # each distinct cell is parsed once: kept in the shared folder, or the filter below would move before the grouping
-    parses = cut_lineage(parses.select("field_name", _cell_key(F.col("cell")).alias("cell"), "n", distinct.alias("ways"))).where(F.size(F.element_at("ways", 1)["items"]) > 0)
+    parses = cut_lineage(parses.select("field_name", _cell_key(F.col("cell")).alias("cell"), "n", "open", distinct.alias("ways"))).where(F.size(F.element_at("ways", 1)["items"]) > 0)
     # value codes: learned where the parse is not in question, or from the strong dialect where it parts
-    sure = F.when(F.size("ways") == 1, F.element_at("ways", 1)["items"]).otherwise(
+    # quotes that quote are the rule, so a parse that only another style of quotes puts in question teaches
+    sure = F.when(F.size(F.filter("ways", lambda w: w["rank"] < len(DIALECTS))) == 1, F.element_at("ways", 1)["items"]).otherwise(
         F.flatten(F.transform(F.filter("ways", lambda w: w["dialect"] == "strong"), lambda w: w["items"]))
     )
     taught = parses.select("field_name", "n", F.explode(sure).alias("value"))
-    taught = taught.unionByName(alone.select("field_name", F.lit(1).cast("bigint").alias("n"), F.col("item_value").alias("value")))
     values = taught.groupBy("field_name", "value").agg(F.sum("n").alias("n"))
     shapes = values.groupBy("field_name", value_shape(F.col("value")).alias("shape")).agg(F.sum("n").alias("n"))
     totals = values.groupBy("field_name").agg(F.sum("n").alias("total"))
@@ -170,14 +178,16 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     priced = pieces.join(costs, ["field_name", "value"]).groupBy("field_name", "cell", "rank").agg(F.sum("bits").alias("bits"), F.count(F.lit(1)).alias("k"))
     best = priced.groupBy("field_name", "cell").agg(F.min(F.struct(F.round("bits", 6).alias("bits"), "k", "rank")).alias("b"))
     best = best.select("field_name", "cell", F.col("b.rank").alias("best"))
-    chosen = parses.join(best, ["field_name", "cell"], "left").select(
+    # rows of cells without a delimiter need no parse, so they are never shuffled
+    chosen = parses.where("open").join(best, ["field_name", "cell"], "left").select(
         "field_name", "cell", F.coalesce(F.get(F.filter("ways", lambda w: w["rank"] == F.col("best")), F.lit(0)), F.element_at("ways", 1)).alias("way")
     )
-    keyed = long.where("open").select(id_, "field_name", _cell_key(F.col("cell")).alias("cell")).join(chosen, ["field_name", "cell"])
+    keyed = long.where(open_).select(id_, "field_name", _cell_key(F.col("cell")).alias("cell")).join(chosen, ["field_name", "cell"])
     counted = keyed.select(id_, "field_name", F.size("way.items").alias("n_items"), F.col("way.dialect").alias("dialect"), F.col("way.items").alias("items"))
     placed = counted.select(id_, "field_name", "n_items", "dialect", F.posexplode("items").alias("p", "item_value"))
     several = placed.select(id_, "field_name", (F.col("p") + 1).alias("item_pos"), "item_value", "n_items", "dialect")
-    return several.unionByName(alone.select(id_, "field_name", F.lit(1).alias("item_pos"), "item_value", F.lit(1).alias("n_items"), F.lit(DIALECTS[0][0]).alias("dialect")))
+    whole = long.where(~open_).select(id_, "field_name", F.lit(1).alias("item_pos"), single.alias("item_value"), F.lit(1).alias("n_items"), F.lit(DIALECTS[0][0]).alias("dialect"))
+    return several.unionByName(whole.where("item_value <> ''"))
 
 
 def _cell_key(cell: Column) -> Column:
