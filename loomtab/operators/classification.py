@@ -88,6 +88,13 @@ def starter_groups(nodes: DataFrame, paths: DataFrame, root: str = "Equipment",
     return every.distinct()
 
 
+def group_frequencies(features: DataFrame, members: DataFrame, key: str = "table_name") -> DataFrame:
+    """``grp, kind, feature, frequency``: the share of a group's tables that have each feature; ``members`` has ``<key>, grp``."""
+    sizes = members.groupBy("grp").agg(F.count_distinct(key).alias("n"))
+    held = features.select(key, "kind", "feature").distinct().join(members.select(key, "grp").distinct(), key)
+    return held.groupBy("grp", "kind", "feature").agg(F.count(F.lit(1)).alias("k")).join(sizes, "grp").select("grp", "kind", "feature", (F.col("k") / F.col("n")).alias("frequency"))
+
+
 def profile_cosine(features: DataFrame, groups: DataFrame, key: str = "table_name") -> DataFrame:
     """``<key>, grp, score`` of each table and group that share a feature.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomtab.functions.text import is_quantity, nfkc_each, tidy_text
+from loomtab.functions.text import is_quantity, nfkc_each, strip_country_prefix, tidy_text
 
 #: Columns of pictures; a name that contains one is dropped (fixed values). Note that ``file`` also hits ``profile``.
 IMAGE_WORDS = ("image", "photo", "thumbnail", "file", "picture", "illustration", "portrait", "insignia")
@@ -46,7 +46,9 @@ def headers(rows: DataFrame) -> DataFrame:
 
     Names are merged from all rows, as a row may lack cells.
     """
-    names = rows.select("table_name", F.explode("cells").alias("c")).groupBy("table_name", F.col("c.pos").alias("pos")).agg(F.min("c.name").alias("name"))
+    # rows of a table mostly have one list of names, so lists are told apart before they are taken apart
+    heads = rows.select("table_name", F.transform("cells", lambda c: F.struct(c["pos"].alias("pos"), c["name"].alias("name"))).alias("h")).groupBy("table_name", "h").agg(F.lit(1).alias("one"))
+    names = heads.select("table_name", F.inline("h")).groupBy("table_name", "pos").agg(F.min("name").alias("name"))
     return names.groupBy("table_name").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda c: c["name"]).alias("names"))
 
 
@@ -223,12 +225,28 @@ def with_section_cells(rows: DataFrame) -> DataFrame:
 
 
 def drop_meaningless(rows: DataFrame) -> DataFrame:
-    """Without tables that have no columns or only numbered, unnamed or ``col_`` ones."""
-    bad = F.forall("names", lambda n: F.coalesce(F.lower(F.trim(n)).rlike(r"^(\d+$|unnamed|col_)"), F.lit(True)))
-    named = headers(rows).where(~bad).select("table_name")
+    """Without tables that have no columns or only numbered, unnamed or ``col_`` ones; one flag per table, no cell is shuffled."""
+    meant = F.exists("cells", lambda c: ~F.coalesce(F.lower(F.trim(c["name"])).rlike(r"^(\d+$|unnamed|col_)"), F.lit(True)))
+    named = rows.groupBy("table_name").agg(F.max(meant).alias("meant")).where("meant").select("table_name")
     return rows.join(named, "table_name", "left_semi")
 
 
+def strip_country(rows: DataFrame, tables: DataFrame, normal: Normal = tidy_text) -> DataFrame:
+    """Column names without the country of their table (``table_name, country``) where they start with it.
+
+    A name that would then be empty or equal another one of its row stays.
+    """
+    joined = rows.join(tables.groupBy("table_name").agg(F.min("country").alias("__country")), "table_name", "left")
+    names = F.transform("cells", lambda c: c["name"])
+
+    def bare(c: Column) -> Column:
+        short = strip_country_prefix(c["name"], F.col("__country"), normal)
+        free = F.coalesce((short != "") & ~F.array_contains(names, short), F.lit(False))
+        return _cell(c["pos"], F.when(free, short).otherwise(c["name"]), c["value"])
+
+    return joined.select("table_name", "row_idx", F.transform("cells", bare).alias("cells"))
+
+
 def clean_all(rows: DataFrame, normal: Normal = tidy_text, positional: bool = True) -> DataFrame:
     """Columns, then rows, then tables. Tables without data rows or columns are gone."""
     columns = drop_superfluous(standardize_names(split_doublewide(rows, positional), normal), normal)

@@ -128,6 +128,25 @@ def leaf_and_parent(h2: Column, h3: Column, h4: Column) -> tuple[Column, Column]
     return leaf, parent
 
 
+def fingerprints(tables: DataFrame, categories: DataFrame, columns: DataFrame, key: str = "table_name") -> DataFrame:
+    """``<key>, profile``: the sets that tables are compared by (see :data:`WEIGHTS`).
+
+    ``tables`` has the three headings, ``categories`` ``<key>, category`` and
+    ``columns`` ``<key>, column_name``. Headings and columns are singular names
+    in lower case with underscores; a part without values is an empty set.
+    """
+    from loomtab.functions.text import singularize
+
+    leaf, parent = leaf_and_parent(F.col("section_h2"), F.col("section_h3"), F.col("section_h4"))
+    none = F.array().cast("array<string>")
+    one = lambda c: F.array_compact(F.array(c))
+    named = singularize(F.translate(F.lower(F.trim("column_name")), " ", "_"))
+    kinds = categories.where("category IS NOT NULL").groupBy(key).agg(F.array_sort(F.collect_set("category")).alias("category"))
+    listed = columns.where("column_name IS NOT NULL").groupBy(key).agg(F.array_sort(F.collect_set(named)).alias("column"))
+    joined = tables.select(key, one(leaf).alias("header"), one(parent).alias("parent")).join(kinds, key, "left").join(listed, key, "left")
+    return joined.select(key, F.struct("header", "parent", F.coalesce("category", none).alias("category"), F.coalesce("column", none).alias("column")).alias("profile"))
+
+
 def cluster_hierarchy(clusters: DataFrame, max_nodes: int = 100_000) -> DataFrame:
     """``name, parent, n_tables`` of a tree over clusters ``name, parent, n_tables``.
 

@@ -68,6 +68,10 @@ def unpivot_report(report: DataFrame, fields: Sequence[str]) -> DataFrame:
     return long.where("names IS NOT NULL AND names <> ''").select("table_name", "super_col", F.posexplode(F.split("names", ", ")).alias("ord", "raw_col"))
 
 
+def _feeds(column: str):
+    return lambda x: x["super_col"] == column
+
+
 def build_master(
     rows: DataFrame, mapping: DataFrame, tables: DataFrame, columns: Sequence[str] = CANONICAL_COLUMNS, keys: Sequence[str] = ("table_name", "row_idx")
 ) -> DataFrame:
@@ -76,15 +80,24 @@ def build_master(
     ``tables`` has ``table_name, url`` and the table's own country, class_path
     and sub_class. A canonical cell is the table's value and the raw values in
     order, joined by ``; ``. A NULL among them makes the whole cell NULL, as
-    concatenation does in SQL. One join with the mapping and one aggregation by
-    row; the pivot's column list is given.
+    concatenation does in SQL. The routes of a table are one list, joined to its
+    rows once; cells are routed within their row, so none is shuffled.
     """
     meta_of = ("country", "class_path", "sub_class")
-    cells = rows.select(*keys, F.explode_outer("cells").alias("c")).select(*keys, F.col("c.name").alias("raw_col"), F.col("c.value").alias("value"))
-    named = cells.join(mapping, ["table_name", "raw_col"], "left")
-    one = F.struct("ord", "value")
-    grouped = named.groupBy(*keys).agg(*[F.array_sort(F.collect_list(F.when(F.col("super_col") == c, one))).alias(f"raw_{c}") for c in columns])
-    joined = grouped.join(tables.select("table_name", "url", *[F.col(c).alias(f"meta_{c}") for c in meta_of]), "table_name", "left")
+    routes = mapping.groupBy("table_name").agg(F.collect_list(F.struct("raw_col", "super_col", "ord")).alias("__routes"))
+    heads = tables.select("table_name", "url", *[F.col(c).alias(f"meta_{c}") for c in meta_of]).join(routes, "table_name", "full")
+    placed = rows.select(*keys, "cells").join(heads, "table_name", "left")
+
+    def routed(c):
+        mine = F.filter("__routes", lambda r: r["raw_col"] == c["name"])
+        return F.transform(mine, lambda r: F.struct(r["super_col"].alias("super_col"), r["ord"].alias("ord"), c["value"].alias("value")))
+
+    none = F.array().cast(f"array<struct<super_col:string,ord:{mapping.schema['ord'].dataType.simpleString()},value:string>>")
+    fed = F.coalesce(F.flatten(F.transform("cells", routed)), none)
+    placed = placed.select(*keys, "url", *[f"meta_{c}" for c in meta_of], fed.alias("__fed"))
+    joined = placed.withColumns(
+        {f"raw_{c}": F.array_sort(F.transform(F.filter("__fed", _feeds(c)), lambda x: F.struct(x["ord"].alias("ord"), x["value"].alias("value")))) for c in columns}
+    )
 
     def cell(c: str):
         raw = F.col(f"raw_{c}")
@@ -96,3 +109,16 @@ def build_master(
         return F.when(F.size(raw) == 0, meta).when(meta.isNull(), joined_).otherwise(F.concat(meta, F.lit("; "), joined_))
 
     return joined.select(*keys, "url", *[cell(c).alias(c) for c in columns])
+
+
+def class_columns(matches: DataFrame, properties: DataFrame) -> DataFrame:
+    """Rule matches in which a class without a canonical column of its own has those of its properties.
+
+    ``matches`` has ``text, entity, kind, super_col``; ``properties`` has
+    ``entity, super_col``, one row per class and property. A class without
+    properties keeps its NULL; other matches stay as they are; repeats count once.
+    """
+    of = properties.where("super_col IS NOT NULL").select("entity", F.col("super_col").alias("__of")).distinct()
+    climbs = (F.col("kind") == "class") & F.col("super_col").isNull()
+    joined = matches.join(of, "entity", "left")
+    return joined.select("text", "entity", "kind", F.when(climbs, F.col("__of")).otherwise(F.col("super_col")).alias("super_col")).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,16 +91,36 @@ def match_rules(texts: DataFrame, rules: DataFrame, text: str = "text", max_rule
     if not listed:
         return distinct.select("text", *[F.lit(None).cast("string").alias(c) for c in ("entity", "kind", "super_col")]).where("false")
     low = F.lower("text")
-    hits = F.array(
-        *[
-            F.when(
-                low.rlike(f"(?iuU){r['pattern']}"),
-                F.struct(F.lit(r["entity"]).alias("entity"), F.lit(r["kind"]).alias("kind"), F.lit(r["super_col"]).cast("string").alias("super_col")),
-            )
-            for r in listed
-        ]
-    )
-    return distinct.select("text", F.inline(F.filter(hits, lambda h: h.isNotNull())))
+
+    def hit(r) -> Column:
+        told = F.struct(F.lit(r["entity"]).alias("entity"), F.lit(r["kind"]).alias("kind"), F.lit(r["super_col"]).cast("string").alias("super_col"))
+        return F.when(low.rlike(f"(?iuU){r['pattern']}"), told)
+
+    # rules whose matches must hold some plain text are asked only where that text stands
+    groups: dict[str, list] = {}
+    for r in listed:
+        groups.setdefault(literal_of(r["pattern"]), []).append(r)
+    empty = F.array().cast("array<struct<entity:string,kind:string,super_col:string>>")
+    parts = [
+        tried if not text_ else F.when(F.contains(low, F.lit(text_)), tried).otherwise(empty)
+        for text_, tried in ((t, F.array_compact(F.array(*map(hit, rs)))) for t, rs in sorted(groups.items()))
+    ]
+    return distinct.select("text", F.flatten(F.array(*parts)).alias("hits")).select("text", F.inline_outer("hits")).where("entity IS NOT NULL")
+
+
+def literal_of(pattern: str) -> str:
+    """A plain ASCII text that every match of a simple pattern holds; empty if the pattern is not simple.
+
+    Only whole words between ``\\b`` with at most one final optional sign are
+    read (as :func:`name_rules` writes them); the first word is enough. Signs
+    that have other forms of the same letter without regard to case are not read.
+    """
+    simple = re.match(r"^\\b([a-hj-rt-z0-9 is]+?)(?:s\?)?\\b$", pattern)
+    if simple is None:
+        return ""
+    # i, k and s have look-alikes in other alphabets that match without regard to case
+    words = [w for w in re.split(r"[iks]", simple.group(1)) if w.strip()]
+    return max(words, key=len).strip() if words else ""
 
 
 def name_rules(nodes: DataFrame) -> DataFrame:

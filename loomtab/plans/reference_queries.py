@@ -434,7 +434,7 @@ _NAMES = r"regexp_matches(raw_col, '(?i)^(name|ship$|model|make|family)$')"
 
 
 @query(f"""
-WITH hits AS (SELECT raw_col, list_sort(list(DISTINCT super_col)) AS h FROM ({_LONG}) WHERE meta_id % 3 = 0 GROUP BY 1),
+WITH hits AS (SELECT raw_col, list_sort(list(DISTINCT super_col)) AS h FROM ({_LONG}) GROUP BY 1),
 c AS (SELECT meta_id, pos AS ord, lower(trim(column_name)) AS raw_col FROM a_meta_table_of_columns),
 j AS (SELECT c.*, coalesce(h, []) AS h FROM c LEFT JOIN hits USING (raw_col)),
 d AS (SELECT *, CASE WHEN raw_col = 'section' THEN 'sub_class' WHEN len(h) = 1 THEN h[1] WHEN raw_col = 'quantity' THEN 'quantity' END AS direct FROM j),
@@ -445,21 +445,11 @@ SELECT meta_id::VARCHAR AS table_name, raw_col, ord, CASE WHEN NOT has_type AND
    OR first_c IS NULL AND n_o = 1 AND direct = 'other_names' OR first_c IS NULL AND n_o <> 1 AND n_v = 1 AND direct = 'variant')
   THEN 'equip_type' ELSE coalesce(direct, 'note') END AS super_col FROM w""")
 def column_classes(spark: SparkSession, d: str) -> DataFrame:
-    """Column rules learned from a third of the mapped scrapes, as its SQL says; :func:`column_classes_all` has them all."""
-    return _column_classes(spark, d, _mapping(spark, d).where(F.col("table_name").cast("bigint") % 3 == 0))
-
-
-def _column_classes(spark: SparkSession, d: str, told: DataFrame) -> DataFrame:
+    """Column rules learned from all mapped scrapes, applied to all columns."""
     cols = read_table(spark, d, "a_meta_table_of_columns").select(
         F.col("meta_id").cast("string").alias("table_name"), F.lower(F.trim("column_name")).alias("column_name"), "pos"
     )
-    return mapping.classify_columns(cols, told.select(F.col("raw_col").alias("text"), "super_col").distinct())
-
-
-@query(ORACLES["column_classes"].replace(" WHERE meta_id % 3 = 0 GROUP", " GROUP"))
-def column_classes_all(spark: SparkSession, d: str) -> DataFrame:
-    """Column rules learned from all mapped scrapes, applied to all columns."""
-    return _column_classes(spark, d, _mapping(spark, d))
+    return mapping.classify_columns(cols, _mapping(spark, d).select(F.col("raw_col").alias("text"), "super_col").distinct())
 
 
 def _master_sql() -> str:

@@ -30,6 +30,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, from ``spark.checkpoint.dir``; a local session has one of its own."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="loomtab-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Checkpoint into the shared folder named by ``spark.checkpoint.dir``.
 
@@ -37,11 +48,5 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     setting is absent, a local session gets a folder of its own; on a cluster
     this raises, as a folder of one machine would lose the data.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not sc.master.split("[")[0] == "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="loomtab-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=eager)

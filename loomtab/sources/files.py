@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator, Mapping
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,29 +23,57 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``file, row_no, header, fields`` of every non-blank record of CSV files, headers included as record 0.
+
+    Quotes may hold commas, doubled quotes and line breaks, so a file is read
+    whole: these are curated lists, one task for each file.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = [r for r in csv.reader(io.StringIO(text or "", newline=""), skipinitialspace=True) if any(f.strip() for f in r)]
+                for at in range(0, len(found), 10_000):
+                    part = found[at : at + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([name] * len(part)), pa.array(range(at, at + len(part)), pa.int64()),
+                            pa.array([[h.strip() for h in found[0]]] * len(part), pa.list_(pa.string())), pa.array(part, pa.list_(pa.string())),
+                        ],
+                        ["file", "row_no", "header", "fields"],
+                    )
+
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    return whole.mapInArrow(run, "file string, row_no bigint, header array<string>, fields array<string>")
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """Each line as an array of its quoted fields, header included."""
-    return spark.read.text(path).where("trim(value) <> ''").select(_fields(F.col("value")).alias("fields"))
+    """``fields``: each record as a list of its fields, header included."""
+    return csv_rows(spark, path).select("fields")
 
 
-def _fields(line):
-    """Fields of one CSV line; quotes may hold commas and doubled quotes."""
-    marked = F.regexp_replace(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', "\u0001")
-    clean = F.transform(F.split(marked, "\u0001"), lambda f: F.regexp_replace(F.regexp_replace(f, r'^\s*"(.*)"\s*$', "$1"), '""', '"'))
-    return clean
+def _sided(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    body = csv_rows(spark, path).where("row_no > 0")
+    fits = F.size("fields") == F.size("header")
+    return body.where(fits), body.where(~fits).select(F.array_join("fields", ",").alias("line"))
 
 
 def checked_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(rows as maps of the header, rejected lines): lines whose width differs from the header's are set aside, not lost."""
-    header = spark.read.text(path).first()
-    if header is None:
-        empty = spark.createDataFrame([], "fields map<string,string>")
-        return empty, spark.createDataFrame([], "line string")
-    width = spark.range(1).select(_fields(F.lit(header["value"])).alias("f")).first()["f"]
-    body = spark.read.text(path).where(F.col("value") != header["value"]).where("trim(value) <> ''").select("value", _fields(F.col("value")).alias("f"))
-    names = F.array(*[F.lit(n.strip()) for n in width])
-    good = body.where(F.size("f") == len(width)).select(F.map_from_arrays(names, F.col("f")).alias("fields"))
-    return good, body.where(F.size("f") != len(width)).select(F.col("value").alias("line"))
+    """(rows as maps of the header, rejected records): records whose width differs from the header's are set aside, not lost.
+
+    The header is skipped by place, so records equal to it stay. Of columns of
+    the same name the last holds.
+    """
+    good, bad = _sided(spark, path)
+    last = F.filter(F.arrays_zip("header", "fields"), lambda p, i: ~F.array_contains(F.slice("header", i + 2, F.size("header")), p["header"]))
+    return good.select(F.map_from_entries(last).alias("fields")), bad
+
+
+def checked_arrays(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows as lists without the header, rejected records), by width as :func:`checked_records`."""
+    good, bad = _sided(spark, path)
+    return good.select("row_no", "fields"), bad
 
 
 def key_values(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -49,7 +82,7 @@ def key_values(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
 
 
 def key_lists(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
-    """All values per key in order."""
+    """All values per key in order; for curated lists, as a key's values are one cell of the result."""
     return rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda s: s[value]).alias(value))
 
 
@@ -57,8 +90,27 @@ def first_column_set(rows: DataFrame, column: str) -> DataFrame:
     return rows.select(column).distinct()
 
 
-def read_taxonomy(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(nodes, rules) of an RDF/XML taxonomy.
+def imported_files(spark: SparkSession, path: str, imports: Mapping[str, str]) -> list[str]:
+    """The file and all those it imports, directly or through others; ``imports`` says where each imported address lies.
+
+    An address that isn't listed raises, as its classes would be missing.
+    """
+    found, queue = [], [path]
+    while queue:
+        at = queue.pop(0)
+        if at in found:
+            continue
+        found.append(at)
+        heads = spark.read.format("xml").option("rowTag", "owl:Ontology").schema("`owl:imports` array<struct<`_rdf:resource`:string>>").load(at)
+        for row in heads.select(F.explode("owl:imports").alias("i")).select(F.col("i")["_rdf:resource"].alias("address")).distinct().collect():
+            if row["address"] not in imports:
+                raise ValueError(f"{at} imports {row['address']}: say in imports where it lies")
+            queue.append(imports[row["address"]])
+    return found
+
+
+def read_taxonomy(spark: SparkSession, path: str, imports: Mapping[str, str] = {}) -> tuple[DataFrame, DataFrame]:
+    """(nodes, rules) of an RDF/XML taxonomy and the ones it imports.
 
     ``nodes``: name, kind, parent, with the part of an address after ``#`` as
     name. A class with several parents keeps the one under the branch named
@@ -70,8 +122,9 @@ def read_taxonomy(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         "`rdfs:subClassOf` array<struct<`_rdf:resource`:string>>, `rdfs:subPropertyOf` array<struct<`_rdf:resource`:string>>"
     )
     parts = []
+    sources = ",".join(imported_files(spark, path, imports))
     for tag, kind in kinds.items():
-        raw = spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+        raw = spark.read.format("xml").option("rowTag", tag).schema(schema).load(sources)
         up = F.concat(F.coalesce("rdfs:subClassOf", F.array()), F.coalesce("rdfs:subPropertyOf", F.array()))
         parents = F.filter(F.transform(up, lambda p: F.substring_index(p["_rdf:resource"], "#", -1)), lambda p: p.isNotNull() & (p != ""))
         parts.append(
@@ -103,6 +156,29 @@ def seed_catalogue(names: DataFrame, column: str = "name") -> DataFrame:
     return names.select(F.col(column).alias("table_name"), F.substr(F.col(column), F.lit(1), F.greatest(at - 1, F.lit(0))).alias("country"))
 
 
+def catalogue(names: DataFrame, rows: DataFrame | None = None, columns: DataFrame | None = None, column: str = "name") -> DataFrame:
+    """``table_name, country, row_count, column_count, category_guess`` of each data table.
+
+    ``rows`` and ``columns`` hold one row per row and per column of a table
+    under ``table_name``; without them the counts are NULL, and a table without
+    any has 0. The guess is left open, for people to fill in.
+    """
+    listed = seed_catalogue(data_tables(names, column), column)
+
+    def counts(of: DataFrame | None, name: str) -> DataFrame:
+        if of is None:
+            return listed.select("table_name", F.lit(None).cast("bigint").alias(name)).distinct()
+        return listed.select("table_name").distinct().join(of.groupBy("table_name").agg(F.count(F.lit(1)).alias(name)), "table_name", "left").fillna(0, [name])
+
+    both = listed.distinct().join(counts(rows, "row_count"), "table_name").join(counts(columns, "column_count"), "table_name")
+    return both.select("table_name", "country", "row_count", "column_count", F.lit(None).cast("string").alias("category_guess"))
+
+
+def country_of_table(tables: DataFrame, name: str) -> DataFrame:
+    """Point lookup: the country of one table in lower case; no row if the table isn't listed."""
+    return tables.where(F.col("table_name") == name).select(F.lower("country").alias("country"))
+
+
 def last_wins(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
     """One whole row per key, the last by ``order``: an upsert by primary key.
 
