@@ -60,6 +60,11 @@ def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p7_restored(spark: SparkSession, d: str) -> DataFrame:
+    """Every text as it comes back from its ids."""
+    return tokens.decode_corpus(tokens.encode_corpus(read_table(spark, d, "documents")))
+
+
 def _mix(spark: SparkSession, d: str) -> mixing.Mix:
     return mixing.Mix(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
 
@@ -118,7 +123,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p6_found, p6_unmatched, p7_ids, p7_roundtrip, p8_mix, p8_shares, p8_mix_by_characters, p8_shares_by_characters, p9_found, p9_scores, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p6_found, p6_unmatched, p7_ids, p7_roundtrip, p7_restored, p8_mix, p8_shares, p8_mix_by_characters, p8_shares_by_characters, p9_found, p9_scores, p9_rates)}
 
 _RECORDS = r"""WITH parts AS (
   SELECT row_id, table_name, unnest(string_split(coalesce(equip_type, '') || ';' || coalesce(variant, ''), ';')) AS v FROM a_master_equipment),
@@ -139,6 +144,7 @@ counted AS (SELECT *, least(floor(rate)::BIGINT + CASE WHEN u < rate - floor(rat
 """
 
 ORACLES = {
+    "p7_restored": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p8_mix_by_characters": _MIX + "SELECT mix_name, source, doc_id, unnest(range(1, copies + 1))::INT AS copy_no FROM counted WHERE copies > 0",
     "p8_shares_by_characters": _MIX + """, got AS (SELECT mix_name, source, sum(copies * n)::BIGINT AS mixed_tokens, count(*) AS used_docs, max(copies)::BIGINT AS most_repeats
   FROM counted WHERE copies > 0 GROUP BY 1, 2)
