@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from loomtab.llm.bpe import Bpe
+
 #: Where the public vocabulary files lie; a parameter of every operator here.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
+def _sent(spark, path: str) -> Callable[[], Bpe]:
+    """Sends the vocabulary file to all executors once; gives what loads it there, or here if a worker has it not."""
+    spark.sparkContext.addFile(path)
+    name = os.path.basename(path)
+
+    def load_sent() -> Bpe:
+        from pyspark import SparkFiles
+
+        from loomtab.llm.bpe import load
+
+        here = SparkFiles.get(name)
+        return load(here if os.path.exists(here) else path)
+
+    return load_sent
+
+
 def encode_corpus(docs: DataFrame, path: str = VOCABULARY, id_: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids``: the token ids of each whole text, without special tokens.
 
@@ -20,11 +41,10 @@ def encode_corpus(docs: DataFrame, path: str = VOCABULARY, id_: str = "doc_id",
     no shuffle takes place. Very long texts pass through the encoder in pieces
     of constant size; only their ids grow with them.
     """
+    held = _sent(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from loomtab.llm.bpe import load
-
-        bpe = load(path)
+        bpe = held()
         for batch in batches:
             texts = batch.column(1)
             for at in range(0, batch.num_rows, 256):  # so that long texts don't pile up their ids
@@ -37,11 +57,10 @@ def encode_corpus(docs: DataFrame, path: str = VOCABULARY, id_: str = "doc_id",
 
 def count_tokens(docs: DataFrame, keep: tuple[str, ...] = (), path: str = VOCABULARY, id_: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, <keep>, n_tokens`` of each document; 0 for NULL and empty texts."""
+    held = _sent(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from loomtab.llm.bpe import load
-
-        bpe = load(path)
+        bpe = held()
         for batch in batches:
             n = pa.array([len(bpe.encode(t.as_py())) for t in batch.column(batch.num_columns - 1)], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], n], [*batch.schema.names[:-1], "n_tokens"])
@@ -53,11 +72,10 @@ def count_tokens(docs: DataFrame, keep: tuple[str, ...] = (), path: str = VOCABU
 
 def decode_corpus(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """``doc_id, text`` of each list of ids, byte by byte through the incremental decoder; a NULL list gives NULL."""
+    held = _sent(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from loomtab.llm.bpe import load
-
-        bpe = load(path)
+        bpe = held()
         for batch in batches:
             texts = [None if (ids := v.as_py()) is None else bpe.decode(ids) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
