@@ -187,7 +187,7 @@ def _tidy(c: Column) -> Column:
     """Lower case, one kind of space, no footnote marks in brackets."""
     c = F.regexp_replace(c, r"[\s\p{Z}]+", " ")
     c = F.regexp_replace(c, r"\p{Cf}", "")
-    return F.trim(F.lower(F.regexp_replace(c, r"\[[^\[\]]{0,40}\]", " ")))
+    return F.trim(F.lower(F.regexp_replace(c, r"\[[^\[\]]*+\]", " ")))
 
 
 def _unit_text(c: Column) -> Column:

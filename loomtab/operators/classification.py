@@ -149,10 +149,11 @@ def classify_one_by_one(
     of a checked size (``max_features`` rows of features). Tables without a
     ``seq`` come last, by key. Ties go to the first name.
     """
-    rows = features.join(order.select(key, "seq"), key, "left").select(key, "seq", "kind", "feature").limit(max_features + 1).collect()
-    starters = groups.limit(max_features + 1).collect()
-    if max(len(rows), len(starters)) > max_features:
+    features, groups = cut_lineage(features), cut_lineage(groups)
+    if max(features.count(), groups.count()) > max_features:  # counted before anything comes to the driver
         raise ValueError(f"more than {max_features} features; use classify_by_profile")
+    rows = features.join(order.select(key, "seq"), key, "left").select(key, "seq", "kind", "feature").collect()
+    starters = groups.collect()
     profiles: dict[str, set[tuple[str, str]]] = {}
     place: dict[str, tuple] = {}
     for r in rows:

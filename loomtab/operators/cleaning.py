@@ -237,7 +237,7 @@ def strip_country(rows: DataFrame, tables: DataFrame, normal: Normal = tidy_text
     A name that would then be empty or equal another one of its row stays.
     """
     joined = rows.join(tables.groupBy("table_name").agg(F.min("country").alias("__country")), "table_name", "left")
-    names = F.transform("cells", lambda c: c["name"])
+    names = F.array_compact(F.transform("cells", lambda c: c["name"]))
 
     def bare(c: Column) -> Column:
         short = strip_country_prefix(c["name"], F.col("__country"), normal)

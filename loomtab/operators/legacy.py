@@ -82,9 +82,9 @@ def greedy_clusters(
     ones before, so this runs on the driver, for at most ``max_tables`` tables.
     A cluster is named by its first table.
     """
-    rows = profiles.select(key, order, "profile").limit(max_tables + 1).collect()
-    if len(rows) > max_tables:
+    if profiles.count() > max_tables:
         raise ValueError(f"more than {max_tables} tables")
+    rows = profiles.select(key, order, "profile").collect()
     rows.sort(key=lambda r: (r[order] is None, r[order], r[key]))
     sets = {r[key]: {part: frozenset(r["profile"][part] or ()) for part in WEIGHTS} for r in rows}
 

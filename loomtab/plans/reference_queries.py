@@ -671,7 +671,8 @@ def html_links(spark: SparkSession, d: str) -> DataFrame:
     host = F.when(F.col("meta_id") % 2 == 0, "https://lists.armoury.example").otherwise("")
     href = F.when(F.col("meta_id") % 5 == 0, F.lit("https://elsewhere.example/wiki/x")).otherwise(F.concat(host, F.lit("/wiki/"), F.col("meta_id").cast("string")))
     item = F.concat(F.lit('<li>see <a href="'), href, F.lit('">'), _escape(F.col("section_title")), F.lit("</a> and <a href='/wiki/other'>more</a>"))
-    lists = meta.groupBy("country", (F.col("meta_id") % 16).alias("part")).agg(F.array_join(F.collect_list(item), "").alias("items"))
+    # a page lists the scrapes of one country within a range of 500 ids, however many there are
+    lists = meta.groupBy("country", F.floor(F.col("meta_id") / 500).alias("part")).agg(F.array_join(F.collect_list(item), "").alias("items"))
     pages = lists.select(F.concat(F.lit("<section><h2> "), _escape(F.col("country")), F.lit(" </h2><ul>"), "items", F.lit("</ul></section>")).alias("html"))
     links = html.extract_links(pages, "https://lists.armoury.example")
     return links.groupBy("country", "page_title", "url").agg(F.count(F.lit(1)).alias("n"))

@@ -31,6 +31,7 @@ def csv_rows(spark: SparkSession, path: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit((1 << 31) - 1)
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = [r for r in csv.reader(io.StringIO(text or "", newline=""), skipinitialspace=True) if any(f.strip() for f in r)]
@@ -122,7 +123,7 @@ def read_taxonomy(spark: SparkSession, path: str, imports: Mapping[str, str] = {
         "`rdfs:subClassOf` array<struct<`_rdf:resource`:string>>, `rdfs:subPropertyOf` array<struct<`_rdf:resource`:string>>"
     )
     parts = []
-    sources = ",".join(imported_files(spark, path, imports))
+    sources = imported_files(spark, path, imports)
     for tag, kind in kinds.items():
         raw = spark.read.format("xml").option("rowTag", tag).schema(schema).load(sources)
         up = F.concat(F.coalesce("rdfs:subClassOf", F.array()), F.coalesce("rdfs:subPropertyOf", F.array()))
