@@ -128,14 +128,20 @@ def classify_by_profile(classified: DataFrame, features: DataFrame, groups: Data
     tables are taken one by one, with groups growing in between, results can
     differ.
     """
-    done = classified.where("confidence = 1.0").select(key, F.col("equipment_class").alias("grp"), F.col("confidence").alias("score"))
-    features, groups = cut_lineage(features), cut_lineage(groups)  # read again in every round
-    assigned = cut_lineage(done)
-    for cut in cuts:
-        waiting = features.join(assigned.select(key), key, "left_anti")
-        grown = groups.unionByName(features.join(assigned.select(key, "grp"), key).select("grp", "kind", "feature")).distinct()
-        fresh = best_group(profile_cosine(waiting, grown, key), key).where(F.col("score") >= cut)
-        assigned = cut_lineage(assigned.unionByName(fresh))
+    fresh = classified.where("confidence = 1.0").select(key, F.col("equipment_class").alias("grp"), F.col("confidence").alias("score"))
+    waiting = cut_lineage(features)  # read again in every round
+    found = []
+    for i, cut in enumerate(cuts):
+        fresh = cut_lineage(fresh)
+        found.append(fresh)
+        # groups grow by the tables that have just joined, and only tables still waiting are scored
+        joined = waiting.join(fresh.select(key, "grp"), key).select("grp", "kind", "feature")
+        groups = cut_lineage(groups.unionByName(joined).distinct())
+        waiting = waiting.join(fresh.select(key), key, "left_anti")
+        fresh = best_group(profile_cosine(waiting, groups, key), key).where(F.col("score") >= cut)
+    assigned = fresh
+    for part in found:
+        assigned = assigned.unionByName(part)
     return _with_new_classes(classified, assigned.select(key, F.col("grp").alias("new_class"), F.col("score").alias("new_score")), key)
 
 

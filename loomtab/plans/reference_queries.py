@@ -532,6 +532,10 @@ def column_classes(spark: SparkSession, d: str) -> DataFrame:
     return mapping.classify_columns(cols, _mapping(spark, d).select(F.col("raw_col").alias("text"), "super_col").distinct())
 
 
+#: The same query under the name it had while another one learned from a third of the mappings.
+QUERIES["column_classes_all"], ORACLES["column_classes_all"] = column_classes, ORACLES["column_classes"]
+
+
 def _master_sql() -> str:
     meta_of = {"country": "country", "class_path": "class_path", "sub_class": "equipment_class"}
     cols = []
