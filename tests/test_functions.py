@@ -1,9 +1,7 @@
-import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from loomtab.functions import fold
 from loomtab.functions import quantity as Q
 from loomtab.functions import text as X
 
@@ -57,18 +55,6 @@ def test_quantities(spark):
     assert got == [want for *_, want in QUANTITIES]
 
 
-def test_folding(spark):
-    e = unicodedata.normalize("NFD", "É-1")
-    assert len(set(one(spark, fold.letters_and_digits, ["É-1", e, " é 1 "]))) == 1
-    assert one(spark, fold.strip_accents, ["Dreporé Ñandú", "x"]) == ["Drepore Nandu", "x"]
-    assert one(spark, fold.halfwidth, ["Ｔａｂｌｅ　６：", None]) == ["Table 6:", None]
-
-
-def test_decompose_equals_unicode(spark):
-    texts = [chr(i) + "x" for a, b in fold._RANGES for i in range(a, b + 1)] + ["plain", "", "日本"]
-    assert one(spark, fold.decompose, texts) == [unicodedata.normalize("NFD", t) for t in texts]
-
-
 @pytest.mark.parametrize("n", [200_000])
 def test_very_long_text(spark, n):
     got = one(spark, X.tidy_text, [" " * n + "a" + " " * n + "b" + " " * n])
