@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Bins of classes in the crosstab (fixed values); other classes are their own bin.
@@ -59,3 +60,12 @@ def exclude_pairs(rows: DataFrame, pairs: Sequence[tuple[str, str]], columns: tu
 def crosstab(rows: DataFrame, row: str, column: str, value: str, columns: Sequence[str]) -> DataFrame:
     """One line per ``row`` and one column per listed value; the list is given, so no extra job looks for it."""
     return rows.groupBy(row).pivot(column, list(columns)).agg(F.sum(value))
+
+
+def top_rows(rows: DataFrame, by: str, tie: str, k: int) -> DataFrame:
+    """The ``k`` rows with the largest ``by``, numbered by ``place`` from 1; NULLs come last, equal ones by ``tie``.
+
+    Partitions hand over at most ``k`` rows each, and only the ``k`` best are numbered.
+    """
+    order = (F.desc_nulls_last(by), F.asc_nulls_first(tie))
+    return rows.orderBy(*order).limit(k).withColumn("place", F.row_number().over(W.orderBy(*order)))

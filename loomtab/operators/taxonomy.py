@@ -43,6 +43,28 @@ def ancestor(path: Column, depth: int) -> Column:
     return F.get(path, F.lit(depth))
 
 
+def entities(nodes: DataFrame, kind: str | None = None) -> DataFrame:
+    """All named entities, or those of one kind."""
+    return nodes.where(F.col("name").isNotNull() if kind is None else F.col("kind") == kind)
+
+
+def descendants(paths_: DataFrame, name: str) -> DataFrame:
+    """The paths that lead to or through an entity; empty for an unknown one."""
+    return paths_.where(F.array_contains("path", name))
+
+
+def properties_of_classes(domains: DataFrame, paths_: DataFrame) -> DataFrame:
+    """``entity, property, super_col``: each class with its own properties and those of its ancestors.
+
+    ``domains`` has ``property, entity, super_col``: the class that a property is
+    declared for. Properties of unknown classes stay with these alone.
+    """
+    lines = paths_.select("name", F.explode("path").alias("entity"))
+    own = domains.select("property", "entity", "super_col").where("entity IS NOT NULL")
+    climbed = own.join(lines, "entity", "left").select(F.coalesce("name", "entity").alias("entity"), "property", "super_col")
+    return climbed.distinct()
+
+
 def common_prefix(paths_: Column) -> Column:
     """The longest common beginning of an array of paths."""
     first = F.element_at(paths_, 1)

@@ -201,6 +201,23 @@ def table_profiles_in_order(spark: SparkSession, d: str) -> DataFrame:
     return out.select("meta_id", "equipment_class", F.round("confidence", 6).alias("confidence"))
 
 
+@query("""
+WITH s AS (SELECT country, sum(quantity_clean) FILTER (status = 'active')::BIGINT AS active FROM a_canonical_equipment GROUP BY 1)
+SELECT *, row_number() OVER (ORDER BY active DESC NULLS LAST, country NULLS FIRST)::INT AS place FROM s QUALIFY place <= 10""")
+def countries_by_active(spark: SparkSession, d: str) -> DataFrame:
+    """A top-k report: the ten countries with the most active equipment, in order."""
+    sums = summary.crosstab(read_table(spark, d, "a_canonical_equipment"), "country", "status", "quantity_clean", ["active"])
+    return summary.top_rows(sums, "active", "country", 10)
+
+
+@query("SELECT name, parent, len(list_filter(path, lambda p: p = 'Naval craft')) > 0 AS naval FROM taxonomy_nodes WHERE kind = 'class'")
+def entities_of_a_kind(spark: SparkSession, d: str) -> DataFrame:
+    """All classes, and whether one of them is an ancestor or the class itself."""
+    nodes = read_table(spark, d, "taxonomy_nodes")
+    below = taxonomy.descendants(taxonomy.paths(nodes), "Naval craft").select("name", F.lit(True).alias("naval"))
+    return taxonomy.entities(nodes, "class").join(below, "name", "left").select("name", "parent", F.coalesce("naval", F.lit(False)).alias("naval"))
+
+
 # --- older groupings ----------------------------------------------------------------------------------------------
 
 

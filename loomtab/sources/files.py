@@ -7,9 +7,11 @@ import io
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def curated_links(spark: SparkSession, path: str) -> DataFrame:
@@ -138,6 +140,31 @@ def read_taxonomy(spark: SparkSession, path: str, imports: Mapping[str, str] = {
     return every.select("name", "kind", "parent"), every.select(F.col("name").alias("entity"), "kind", "patterns", "super_col")
 
 
+def read_domains(spark: SparkSession, path: str, imports: Mapping[str, str] = {}) -> DataFrame:
+    """``property, entity, super_col`` of an RDF/XML taxonomy: the classes each property is declared for."""
+    schema = "`_rdf:about` string, `super_col` array<string>, `rdfs:domain` array<struct<`_rdf:resource`:string>>"
+    parts = []
+    for tag in ("owl:ObjectProperty", "owl:DatatypeProperty"):
+        raw = spark.read.format("xml").option("rowTag", tag).schema(schema).load(imported_files(spark, path, imports)).where("`_rdf:about` IS NOT NULL")
+        parts.append(
+            raw.select(
+                F.substring_index("_rdf:about", "#", -1).alias("property"), F.explode("rdfs:domain").alias("d"), F.get("super_col", F.lit(0)).alias("super_col")
+            ).select("property", F.substring_index(F.col("d")["_rdf:resource"], "#", -1).alias("entity"), "super_col")
+        )
+    return parts[0].unionByName(parts[1]).where("entity <> ''")
+
+
+def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path``; an empty one of this schema is written first if there is none. An existing table is left as it is."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def data_tables(names: DataFrame, column: str = "table_name", reserved: str = "a_") -> DataFrame:
     """Table names without the catalogue's own."""
     return names.where(~F.startswith(F.col(column), F.lit(reserved)))

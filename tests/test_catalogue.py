@@ -132,3 +132,35 @@ def test_pipeline_with_time_order_and_properties(spark, tmp_path):
     master = spark.read.parquet(p.path("CLASSIFIED", "master"))
     assert {(r["equip_type"], r["quantity"]) for r in master.collect()} == {("B-1", "3"), ("B-2", "4")}
     assert spark.read.parquet(p.path("CLASSIFIED", "unclassified")).where(F.col("equipment_class").isNotNull()).count() == 0
+
+
+def test_properties_climb_to_descendants(spark, tmp_path):
+    f = tmp_path / "p.owl"
+    domain = '<owl:DatatypeProperty rdf:about="http://x.example/o#HasDraught"><rdfs:domain rdf:resource="http://x.example/o#Boats"/><super_col>dimensions</super_col></owl:DatatypeProperty>'
+    f.write_text(_owl('<owl:Class rdf:about="http://x.example/o#Boats"/>' + domain + '<owl:DatatypeProperty rdf:about="http://x.example/o#Free"/>'))
+    domains = files.read_domains(spark, str(f))
+    assert {tuple(r) for r in domains.collect()} == {("HasDraught", "Boats", "dimensions")}
+    nodes = spark.createDataFrame([("Boats", "class", None), ("Tugs", "class", "Boats"), ("Cars", "class", None), ("HasDraught", "data property", None)], "name string, kind string, parent string")
+    paths = taxonomy.paths(nodes)
+    got = {tuple(r) for r in taxonomy.properties_of_classes(domains, paths).collect()}
+    assert got == {("Boats", "HasDraught", "dimensions"), ("Tugs", "HasDraught", "dimensions")}
+    assert taxonomy.entities(nodes).count() == 4 and taxonomy.entities(nodes, "class").count() == 3
+    assert {r["name"] for r in taxonomy.descendants(paths, "Boats").collect()} == {"Boats", "Tugs"} and taxonomy.descendants(paths, "x").count() == 0
+
+
+def test_ensure_table_makes_an_empty_one_and_keeps_a_full_one(spark, tmp_path):
+    from loomtab.schemas import TABLES_META
+
+    path = str(tmp_path / "meta")
+    empty = files.ensure_table(spark, path, TABLES_META)
+    assert empty.count() == 0 and empty.columns == TABLES_META.fieldNames()
+    spark.createDataFrame([("t",)], "table_name string").write.mode("overwrite").parquet(path)
+    assert files.ensure_table(spark, path, TABLES_META).count() == 1
+
+
+def test_top_rows(spark):
+    from loomtab.operators.summary import top_rows
+
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3), ("d", None), (None, 2)], "k string, n int")
+    assert [(r["k"], r["place"]) for r in top_rows(df, "n", "k", 4).orderBy("place").collect()] == [("b", 1), ("c", 2), (None, 3), ("a", 4)]
+    assert top_rows(df.limit(0), "n", "k", 3).count() == 0
