@@ -151,8 +151,8 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     parses = cells.withColumns(marked).select("field_name", "cell", "n", "open", F.when(F.col("open"), _ways(F.col("cell"), [F.col(m) for m in marked])).otherwise(one).alias("all"))
     # dialects that part alike are one, known by the first of them
     distinct = F.filter("all", lambda p, i: F.size(F.filter(F.slice(F.col("all"), 1, i), lambda q: q["items"] == p["items"])) == 0)
-    # each distinct cell is parsed once: kept in the shared folder, or the filter below would move before the grouping
-    parses = cut_lineage(parses.select("field_name", _cell_key(F.col("cell")).alias("cell"), "n", "open", distinct.alias("ways"))).where(F.size(F.element_at("ways", 1)["items"]) > 0)
+    # each distinct cell is parsed once and has a number from then on: kept in the shared folder, or the filter below would move before the grouping
+    parses = cut_lineage(parses.select("field_name", _cell_key(F.col("cell")).alias("cell"), "n", "open", F.monotonically_increasing_id().alias("cid"), distinct.alias("ways"))).where(F.size(F.element_at("ways", 1)["items"]) > 0)
     # value codes: learned where the parse is not in question, or from the strong dialect where it parts
     # quotes that quote are the rule, so a parse that only another style of quotes puts in question teaches
     sure = F.when(F.size(F.filter("ways", lambda w: w["rank"] < len(DIALECTS))) == 1, F.element_at("ways", 1)["items"]).otherwise(
@@ -162,8 +162,8 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     values = taught.groupBy("field_name", "value").agg(F.sum("n").alias("n"))
     shapes = values.groupBy("field_name", value_shape(F.col("value")).alias("shape")).agg(F.sum("n").alias("n"))
     totals = values.groupBy("field_name").agg(F.sum("n").alias("total"))
-    doubtful = parses.where(F.size("ways") > 1).select("field_name", "cell", F.explode("ways").alias("way"))
-    pieces = doubtful.select("field_name", "cell", F.col("way.rank").alias("rank"), F.explode("way.items").alias("value"))
+    doubtful = parses.where(F.size("ways") > 1).select("field_name", "cid", F.explode("ways").alias("way"))
+    pieces = doubtful.select("field_name", "cid", F.col("way.rank").alias("rank"), F.explode("way.items").alias("value"))
     wanted = pieces.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("uses")).withColumn("shape", value_shape(F.col("value")))
     coded = (
         wanted.join(values.withColumnRenamed("n", "n_value"), ["field_name", "value"], "left")
@@ -175,11 +175,11 @@ def split_packed(rows: DataFrame, fields: Sequence[str], guards: Sequence[str] =
     stray = F.regexp_count("value", F.lit(r'(?<!\d)"')) % 2 == 1
     by_shape = 1 - F.log2((F.coalesce(F.col("n_shape"), F.lit(0)) + 0.001) / total) + F.length("value") * F.lit(SIGN_BITS) + F.when(stray, STRAY_BITS).otherwise(0.0)
     costs = coded.select("field_name", "value", F.least(by_value, by_shape).alias("bits"))
-    priced = pieces.join(costs, ["field_name", "value"]).groupBy("field_name", "cell", "rank").agg(F.sum("bits").alias("bits"), F.count(F.lit(1)).alias("k"))
-    best = priced.groupBy("field_name", "cell").agg(F.min(F.struct(F.round("bits", 6).alias("bits"), "k", "rank")).alias("b"))
-    best = best.select("field_name", "cell", F.col("b.rank").alias("best"))
+    priced = pieces.join(costs, ["field_name", "value"]).groupBy("cid", "rank").agg(F.sum("bits").alias("bits"), F.count(F.lit(1)).alias("k"))
+    best = priced.groupBy("cid").agg(F.min(F.struct(F.round("bits", 6).alias("bits"), "k", "rank")).alias("b"))
+    best = best.select("cid", F.col("b.rank").alias("best"))
     # rows of cells without a delimiter need no parse, so they are never shuffled
-    chosen = parses.where("open").join(best, ["field_name", "cell"], "left").select(
+    chosen = parses.where("open").join(best, "cid", "left").select(
         "field_name", "cell", F.coalesce(F.get(F.filter("ways", lambda w: w["rank"] == F.col("best")), F.lit(0)), F.element_at("ways", 1)).alias("way")
     )
     keyed = long.where(open_).select(id_, "field_name", _cell_key(F.col("cell")).alias("cell")).join(chosen, ["field_name", "cell"])
