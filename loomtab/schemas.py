@@ -14,6 +14,9 @@ CANONICAL_COLUMNS = (
 #: Fields of the mapping report that list raw columns; ``country`` holds the country itself.
 MAPPED_FIELDS = tuple(c for c in CANONICAL_COLUMNS if c != "country")
 
+CELLS = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("value", T.StringType())]))
+#: Rows of all tables in the long form.
+RAW_ROWS = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("row_idx", T.IntegerType()), T.StructField("cells", CELLS)])
 #: The catalogue of tables.
 TABLES_META = T.StructType(
     [
