@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
+import tempfile
+from collections.abc import Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from loomtab.session import cut_lineage
 
@@ -151,13 +159,14 @@ def classify_one_by_one(
 ) -> DataFrame:
     """As :func:`classify_by_profile`, but tables are taken one by one in ``order`` (``<key>, seq``) and groups grow in between.
 
-    That order is a chain of decisions, so it runs on the driver, for catalogues
-    of a checked size (``max_features`` rows of features). Tables without a
-    ``seq`` come last, by key. Ties go to the first name.
+    That order is a chain of decisions, which runs on the driver here, for
+    catalogues of a checked size (``max_features`` rows of features);
+    :func:`classify_in_order` takes any. Tables without a ``seq`` come last, by
+    key. Ties go to the first name.
     """
     features, groups = cut_lineage(features), cut_lineage(groups)
     if max(features.count(), groups.count()) > max_features:  # counted before anything comes to the driver
-        raise ValueError(f"more than {max_features} features; use classify_by_profile")
+        raise ValueError(f"more than {max_features} features; use classify_in_order")
     rows = features.join(order.select(key, "seq"), key, "left").select(key, "seq", "kind", "feature").collect()
     starters = groups.collect()
     profiles: dict[str, set[tuple[str, str]]] = {}
@@ -195,6 +204,138 @@ def classify_one_by_one(
     return _with_new_classes(classified, new, key)
 
 
+class _Groups:
+    """Groups that grow. Memory: the distinct features, and for each group the kinds and features it holds."""
+
+    def __init__(self) -> None:
+        self.pairs: dict[tuple, int] = {}  # of kind and feature, numbered
+        self.features: dict[str | None, int] = {}
+        self.feature_of: list[int] = []
+        self.names: list[str] = []
+        self.at: dict[str, int] = {}
+        self.held: list[set[int]] = []  # pairs of each group
+        self.norms = np.zeros(0, np.int64)
+        self.by_feature: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # its groups, and in how many kinds each holds it
+
+    def numbers(self, kinds: list, features: list) -> np.ndarray:
+        """The number of each pair."""
+        out = np.empty(len(kinds), np.int32)
+        for i, pair in enumerate(zip(kinds, features)):
+            if (k := self.pairs.get(pair)) is None:
+                k = self.pairs[pair] = len(self.pairs)
+                self.feature_of.append(self.features.setdefault(pair[1], len(self.features)))
+            out[i] = k
+        return out
+
+    def join(self, name: str, pairs: list[int]) -> None:
+        if name not in self.at:
+            self.at[name] = len(self.names)
+            self.names.append(name)
+            self.held.append(set())
+            self.norms = np.append(self.norms, 0)
+        g = self.at[name]
+        for pair in set(pairs) - self.held[g]:
+            f = self.feature_of[pair]
+            groups, weights = self.by_feature.get(f, (np.zeros(0, np.int64), np.zeros(0)))
+            here = (groups == g).nonzero()[0]
+            if len(here):
+                self.norms[g] += 2 * int(weights[here[0]]) + 1
+                weights[here[0]] += 1
+            else:
+                self.norms[g] += 1
+                self.by_feature[f] = np.append(groups, g), np.append(weights, 1.0)
+        self.held[g].update(pairs)
+
+    def best(self, pairs: list[int]) -> tuple[str | None, float]:
+        own = {self.feature_of[p] for p in pairs}
+        met = [self.by_feature[f] for f in own if f in self.by_feature]
+        if not met:
+            return None, 0.0
+        dots = np.bincount(np.concatenate([g for g, _ in met]), np.concatenate([w for _, w in met]), len(self.names))
+        scores = dots / np.sqrt(len(own) * self.norms)
+        top = scores.max()
+        near = (scores >= top * (1 - 1e-12)).nonzero()[0]
+        if len(near) > 1:  # ties are told from near ones by whole numbers
+            first = min(near, key=lambda g: (-Fraction(int(dots[g]) ** 2, int(self.norms[g])), self.names[g]))
+        else:
+            first = near[0]
+        return self.names[first], float(scores[first])
+
+
+def _profiles(batches: Iterator[pa.RecordBatch], grown: _Groups) -> Iterator[list[tuple]]:
+    """``(key, sure, class, pairs)`` of the tables of each batch; starters join their group on the way."""
+    for batch in batches:
+        profile = batch.column("profile")
+        ends = np.asarray(profile.offsets) - profile.offsets[0].as_py()
+        pairs = grown.numbers(*(c.to_pylist() for c in profile.flatten().flatten()))
+        tables = []
+        columns = (batch.column(c).to_pylist() for c in ("key", "starter", "sure", "grp"))
+        for i, (key, starter, sure, grp) in enumerate(zip(*columns)):
+            own = pairs[ends[i] : ends[i + 1]]
+            if starter:
+                grown.join(grp, own.tolist())
+            else:
+                tables.append((key, sure, grp, own.tobytes()))
+        yield tables
+
+
+def _again(file) -> Iterator[list[tuple]]:
+    with file:
+        file.seek(0)
+        while True:
+            try:
+                yield pickle.load(file)
+            except EOFError:
+                return
+
+
+def classify_in_order(
+    classified: DataFrame, features: DataFrame, groups: DataFrame, order: DataFrame, cuts: tuple[float, ...] = CUTS, key: str = "table_name",
+) -> DataFrame:
+    """What :func:`classify_one_by_one` gives, for catalogues of any number of tables.
+
+    The chain of decisions is one task, which nothing can divide, but the
+    profiles are made and sorted before it by all. It gets the groups first,
+    then the tables in order. Those that wait for a later round lie in a file
+    of the task meanwhile, so its memory grows by distinct features alone, and
+    nothing comes to the driver.
+    """
+    profile = F.collect_set(F.struct("kind", "feature")).alias("profile")
+    places = order.groupBy(F.col(key).alias("key")).agg(F.min("seq").alias("seq"))
+    sure = classified.where("confidence = 1.0").groupBy(F.col(key).alias("sure_key")).agg(F.lit(True).alias("sure"), F.min("equipment_class").alias("grp"))
+    tables = features.groupBy(F.col(key).alias("key")).agg(profile).join(places, "key", "left")
+    tables = tables.join(sure, F.col("key").eqNullSafe(F.col("sure_key")), "left").select(F.lit(False).alias("starter"), "key", "seq", "sure", "grp", "profile")
+    starters = groups.groupBy("grp").agg(profile).withColumn("starter", F.lit(True))
+    line = tables.unionByName(starters, allowMissingColumns=True).repartition(1)
+    line = line.sortWithinPartitions(F.desc("starter"), F.asc_nulls_last("seq"), F.asc_nulls_last("key")).drop("seq")
+    kind = classified.schema[key].dataType
+    types = to_arrow_type(kind), pa.string(), pa.float64()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grown = _Groups()
+        turn = _profiles(batches, grown)
+        for cut in cuts:
+            waiting = tempfile.TemporaryFile()
+            for tables in turn:
+                found, left = [], []
+                for table in tables:
+                    name, sure, grp, own = table
+                    pairs = np.frombuffer(own, np.int32).tolist()
+                    group, score = (grp, 1.0) if sure else grown.best(pairs)
+                    if group is None or score < cut:
+                        left.append(table)
+                        continue
+                    grown.join(group, pairs)
+                    found.append((name, group, score))
+                if left:
+                    pickle.dump(left, waiting)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=[key, "new_class", "new_score"])
+            turn = _again(waiting)
+
+    return _with_new_classes(classified, line.mapInArrow(run, f"`{key}` {kind.simpleString()}, new_class string, new_score double"), key)
+
+
 def _with_new_classes(classified: DataFrame, new: DataFrame, key: str) -> DataFrame:
     joined = classified.join(new, key, "left")
     return joined.select(

@@ -12,7 +12,7 @@ from loomtab.functions import text as X
 from loomtab.operators import classification, legacy, mapping, summary, taxonomy
 from loomtab.plans.reference_queries import ORACLES as REFERENCE
 from loomtab.plans.reference_queries import _RULE_SQL, ROOT, _classified, _features, _LONG, _mapping
-from loomtab.session import read_table, shared_folder
+from loomtab.session import cut_lineage, read_table, shared_folder
 from loomtab.sources import files, sinks
 
 QUERIES: dict = {}
@@ -197,7 +197,7 @@ def table_profiles_in_order(spark: SparkSession, d: str) -> DataFrame:
     """Classes by profile with tables taken one by one, groups growing in between; a chain of decisions that SQL can't state."""
     classified, features, groups = _features(spark, d)
     order = read_table(spark, d, "a_meta_table").select("meta_id", F.col("meta_id").alias("seq"))
-    out = classification.classify_one_by_one(classified, features, groups, order, key="meta_id")
+    out = classification.classify_in_order(cut_lineage(classified), features, groups, order, key="meta_id")
     return out.select("meta_id", "equipment_class", F.round("confidence", 6).alias("confidence"))
 
 

@@ -75,7 +75,7 @@ class Pipeline:
         groups = classification.starter_groups(self.nodes, self.paths, self.compat.equipment_root, self.rules)
         if self.compat.one_by_one:
             order = tables.select("table_name", F.struct("page_id", "table_no").alias("seq"))
-            placed = classification.classify_one_by_one(naive, features, groups, order)
+            placed = classification.classify_in_order(naive, features, groups, order)
         else:
             placed = classification.classify_by_profile(naive, features, groups)
         classes = self._write("CLASSIFIED", "classes", placed)

@@ -1,3 +1,6 @@
+import functools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +93,48 @@ def test_classes_by_profile(spark, tax):
         classification.classify_one_by_one(c, features, groups, order, max_features=2)
 
 
+def test_classes_in_order_are_those_of_one_by_one(spark, tax):
+    rng = random.Random(5)
+    names = [f"t{i:03d}" for i in range(300)]
+    rows = [(t, rng.choice(("classes", "raw_cols", "parent")), f"f{min(rng.randrange(40), rng.randrange(40))}") for t in names for _ in range(rng.randrange(1, 9))]
+    rows += [("unknown", "raw_cols", "f1"), ("alone", "raw_cols", "nowhere else")]
+    features = spark.createDataFrame(rows, "table_name string, kind string, feature string").distinct()
+    groups = spark.createDataFrame([(f"g{i}", k, f"f{(i * 7 + j) % 40}") for i in range(12) for j, k in enumerate(("classes", "parent", "children"))], "grp string, kind string, feature string")
+    own = {t: rng.choice(["g1", "g5", "new"]) for t in names[::4]}
+    c = spark.createDataFrame([(t, own.get(t), [], float(t in own)) for t in [*names, "alone", "bare"]], "table_name string, equipment_class string, other_classes array<string>, confidence double")
+    order = spark.createDataFrame([(t, i, i % 7) for i, t in enumerate(rng.sample(names, 250))], "table_name string, a int, b int").select("table_name", F.struct("b", "a").alias("seq"))
+    want = classification.classify_one_by_one(c, features, groups, order)
+    got = classification.classify_in_order(c, features, groups, order)
+    assert got.columns == want.columns
+    got, want = ({r["table_name"]: (r["equipment_class"], round(r["confidence"], 9)) for r in df.collect()} for df in (got, want))
+    assert got == want and got["alone"] == got["bare"] == (None, 0.0)
+    assert len({k for k, _ in got.values()}) > 8 and sum(0 < s < 1 for _, s in got.values()) > 50
+
+
+def test_order_decides_and_ties_go_to_the_first_name(spark):
+    c = spark.createDataFrame([(i, None, [], 0.0) for i in (1, 2, 3)], "id bigint, equipment_class string, other_classes array<string>, confidence double")
+    features = spark.createDataFrame([(1, "c", "x"), (1, "c", "y"), (2, "c", "y"), (2, "c", "z"), (3, "c", "q")], "id bigint, kind string, feature string")
+    # b holds q in three kinds and has norm 18, h in one and has norm 2: equally near to q
+    far = [("b", k, f) for f, n in (("q", 3), ("r", 3)) for k in "cde"[:n]]
+    groups = spark.createDataFrame([("d", "c", "x"), ("e", "c", "z"), ("e", "c", "v"), ("e", "c", "w"), ("h", "c", "q"), ("h", "c", "s"), *far], "grp string, kind string, feature string")
+    for seqs, two in (((1, 2), "d"), ((2, 1), "e")):
+        order = spark.createDataFrame(list(zip((1, 2), seqs)), "id bigint, seq int")
+        got = {r["id"]: r["equipment_class"] for r in classification.classify_in_order(c, features, groups, order, cuts=(0.3,), key="id").collect()}
+        assert got == {1: "d", 2: two, 3: "b"}
+
+
+def test_the_query_in_order_takes_more_than_the_driver(spark, sf_dir, monkeypatch):
+    import __spark_entry__ as entry
+    from loomtab.plans.reference_queries import _features, read_table
+
+    c, features, groups = _features(spark, sf_dir)
+    order = read_table(spark, sf_dir, "a_meta_table").select("meta_id", F.col("meta_id").alias("seq"))
+    want = classification.classify_one_by_one(c, features, groups, order, key="meta_id").select("meta_id", "equipment_class", F.round("confidence", 6)).collect()
+    monkeypatch.setattr(classification, "classify_one_by_one", functools.partial(classification.classify_one_by_one, max_features=2))
+    got = entry.queries()["table_profiles_in_order"](spark, sf_dir).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) > 40
+
+
 def test_cosine(spark):
     t = spark.createDataFrame([("t", "classes", "a"), ("t", "raw_cols", "b"), ("u", "raw_cols", "z")], "table_name string, kind string, feature string")
     g = spark.createDataFrame([("g", "classes", "a"), ("g", "parent", "a"), ("g", "raw_cols", "c"), ("h", "classes", "a")], "grp string, kind string, feature string")
